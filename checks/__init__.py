@@ -1,0 +1 @@
+"""Registered queries on the given tables and their SQL counterparts."""

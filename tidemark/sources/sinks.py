@@ -15,12 +15,17 @@ def is_empty(df: DataFrame) -> bool:
 
 
 def ensure_table(
-    spark: SparkSession, name: str, schema: StructType, partition_by: Sequence[str] = ()
+    spark: SparkSession,
+    name: str,
+    schema: StructType,
+    partition_by: Sequence[str] = (),
+    location: str | None = None,
 ) -> None:
-    """Create a parquet table unless it exists."""
+    """Create a parquet table unless it exists, in a given folder if asked."""
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     split = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet{split}")
+    place = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet{split}{place}")
 
 
 def fill_columns(df: DataFrame, schema: StructType) -> DataFrame:
