@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -37,6 +37,17 @@ def has_parent(df: DataFrame, parent: DataFrame, on: Sequence[str], unique: bool
     return df.join(keys, list(on), "left_semi")
 
 
+def known_in(rows: DataFrame, parent: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Rows of a small staged frame with a match in a big ``parent``.
+
+    The same rows as :func:`has_parent`, but the parent is first cut down to the
+    keys that occur in ``rows``: its key columns stream past the broadcast keys
+    instead of all being shuffled to meet a few rows.
+    """
+    present = has_parent(parent.select(*on), rows, on, unique=False)
+    return rows.join(present, list(on), "left_semi")
+
+
 def lacks(df: DataFrame, other: DataFrame, on: Sequence[str], unique: bool = False) -> DataFrame:
     """Rows without any match in ``other``."""
     keys = other.select(*on) if unique else distinct_keys(other, on)
@@ -84,12 +95,19 @@ def first_child(
     child: str,
     alive: Column,
     parent: DataFrame,
+    stage: Callable[[DataFrame, str], DataFrame] | None = None,
 ) -> DataFrame:
     """Add one living child per row that exists in ``parent``: the smallest id.
 
-    Any child would do; the smallest makes reruns agree and folds on the map side.
+    Any child would do; the smallest makes reruns agree and folds on the map
+    side. With ``stage``, ``assoc`` holds the few links of changed rows, which
+    are staged so that the parent need not be shuffled.
     """
-    living = has_parent(assoc.where(alive).select(key, child), parent, [child])
+    links = assoc.where(alive).select(key, child)
+    if stage is None:
+        living = has_parent(links, parent, [child])
+    else:
+        living = known_in(stage(links, f"links_{key}"), parent, [child])
     chosen = living.dropna(subset=[key]).groupBy(key).agg(F.min(child).alias(child))
     return df.join(chosen, key, "left")
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.dates import changed
 from tidemark.functions.status import ACTIVE, BLIND, OK, YES, any_right, status_of
 from tidemark.operators.changes import changed_ids, changed_pairs, touched_ids
-from tidemark.operators.joins import first_child, has_parent, with_exists_flag
+from tidemark.operators.joins import first_child, has_parent, known_in, with_exists_flag
 from tidemark.plans.context import Run, Tables, same_named
 from tidemark.plans.styles import changed_styles
 
@@ -41,6 +41,7 @@ def sync_album(src: Tables, tgt: Tables, run: Run, ids: DataFrame | None = None)
         "artist_id",
         (F.col("rp_cd") == YES) & (F.col("db_sts") == ACTIVE),
         tgt["artist"],
+        run.stage,
     )
     copied = ["title", "search_title", "artist_id", "nation_cd", "release_ymd"]
     written = same_named(*copied, "status") | {
@@ -62,10 +63,10 @@ def sync_album_local(src: Tables, tgt: Tables, run: Run, ids: DataFrame | None =
     region = run.of_region(src["ted_album_w"])
     if run.region.regional:
         touched = touched_ids(KEY, run.cut, [region], src["ted_albumartist"], ("upd_dt",))
-        rows = region.join(run.stage(touched, "album_local_ids"), KEY).where(
+        touched = known_in(run.stage(touched, "album_local_ids"), tgt["album"], [KEY])
+        rows = region.join(run.stage(touched, "album_local_known"), KEY).where(
             changed(run.cut, "crt_dt", "upd_dt") | F.col("by_child")
         )
-        rows = has_parent(rows, tgt["album"], [KEY])
     else:
         rows = has_parent(region, changed_albums(src, run) if ids is None else ids, [KEY])
     titles = {"title_local": "src.title", "search_title_local": "src.title"}
@@ -81,15 +82,16 @@ def sync_album_local(src: Tables, tgt: Tables, run: Run, ids: DataFrame | None =
     )
 
 
-def _album_styles(src: Tables, run: Run) -> DataFrame:
+def changed_album_styles(src: Tables, run: Run) -> DataFrame:
+    """Style rows that drive both album_style and track_style."""
     return changed_styles(src["tbm_albumstyle"], KEY, run.of_region(src["ted_album_w"]), run)
 
 
-def sync_album_style(src: Tables, tgt: Tables, run: Run) -> DataFrame:
-    rows = _album_styles(src, run)
+def sync_album_style(src: Tables, tgt: Tables, run: Run, styles: DataFrame | None = None) -> DataFrame:
+    rows = changed_album_styles(src, run) if styles is None else styles
     if run.region.regional:
-        rows = has_parent(rows, tgt["album"], [KEY])
-        rows = has_parent(rows, tgt["style"], ["style_id"])
+        rows = known_in(rows, tgt["album"], [KEY])
+        rows = known_in(rows, tgt["style"], ["style_id"])
     return run.upsert(
         tgt["album_style"],
         rows.select(KEY, "style_id", "listorder", "crt_dt"),
@@ -100,11 +102,12 @@ def sync_album_style(src: Tables, tgt: Tables, run: Run) -> DataFrame:
     )
 
 
-def sync_track_style(src: Tables, tgt: Tables, run: Run) -> DataFrame:
+def sync_track_style(src: Tables, tgt: Tables, run: Run, styles: DataFrame | None = None) -> DataFrame:
     """Every track inherits its album's styles. A huge album is split by AQE's skew join."""
-    rows = _album_styles(src, run).select(KEY, "style_id", "listorder", "crt_dt")
+    rows = changed_album_styles(src, run) if styles is None else styles
+    rows = rows.select(KEY, "style_id", "listorder", "crt_dt")
     if run.region.regional:
-        rows = has_parent(rows, tgt["style"], ["style_id"])
+        rows = known_in(rows, tgt["style"], ["style_id"])
     rows = rows.join(tgt["track"].select("track_id", KEY), KEY).drop(KEY)
     return run.upsert(
         tgt["track_style"],

@@ -81,8 +81,9 @@ def sync_catalog(
     to.put("track", tracks.sync_track(src, tgt, run, track_ids))
     _put_track_local(to, src, run, track_ids)
 
-    to.put("album_style", albums.sync_album_style(src, tgt, run))
-    to.put("track_style", albums.sync_track_style(src, tgt, run))
+    styles = albums.changed_album_styles(src, run)
+    to.put("album_style", albums.sync_album_style(src, tgt, run, styles))
+    to.put("track_style", albums.sync_track_style(src, tgt, run, styles))
 
     if region.regional:
         mv_ids = None

@@ -10,11 +10,12 @@ from tidemark.plans.context import Run
 
 
 def changed_styles(styles: DataFrame, key: str, region: DataFrame, run: Run) -> DataFrame:
-    """New style rows; for the generic sync every style row of an id that has a
-    new one and a region row."""
+    """New style rows, staged; for the generic sync every style row of an id that
+    has a new one and a region row."""
     fresh = changed_since(styles, run.cut, ("crt_dt",))
     if run.region.regional:
-        return fresh
+        return run.stage(fresh, f"style_rows_{key}")
     candidates = run.stage(distinct_keys(fresh, [key]), f"style_candidates_{key}")
     ids = has_parent(region.select(key), candidates, [key]).distinct()
-    return has_parent(styles, run.stage(ids, f"style_ids_{key}"), [key])
+    rows = has_parent(styles, run.stage(ids, f"style_ids_{key}"), [key])
+    return run.stage(rows, f"style_rows_{key}")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.status import ACTIVE, YES, status_of, yes_no
 from tidemark.operators.apply import update_from_lookup
 from tidemark.operators.changes import base_with_region, changed_ids
-from tidemark.operators.joins import first_child, has_parent, raise_if
+from tidemark.operators.joins import first_child, has_parent, known_in, raise_if
 from tidemark.plans.context import Run, Tables, same_named
 from tidemark.plans.rights import rights_per_track, several_rights
 
@@ -32,7 +32,7 @@ def sync_track(src: Tables, tgt: Tables, run: Run, ids: DataFrame | None = None)
     base = src["ted_track"]
     if run.region.regional:
         rows = base_with_region(base, run.of_region(src["ted_track_w"]), ids, KEY)
-        rows = has_parent(rows, tgt["album"], ["album_id"])
+        rows = known_in(run.stage(rows, "track_rows"), tgt["album"], ["album_id"])
         status = status_of("db_sts", "w_db_sts")
     else:
         rows = has_parent(base, ids, [KEY])
@@ -44,6 +44,7 @@ def sync_track(src: Tables, tgt: Tables, run: Run, ids: DataFrame | None = None)
         "artist_id",
         (F.col("rp_cd") == YES) & (F.col("db_sts") == ACTIVE),
         tgt["artist"],
+        run.stage,
     )
     copied = ["media_no", "disc_id", "track_no", "track_title", "len", "crt_dt", "album_id", "artist_id"]
     flags = {c: yes_no(c) for c in ("title_yn", *QUALITY_FLAGS)} | {"svc_wma_yn": yes_no("svc_mmp3_yn")}
@@ -64,9 +65,9 @@ def sync_track(src: Tables, tgt: Tables, run: Run, ids: DataFrame | None = None)
 def sync_track_local(src: Tables, tgt: Tables, run: Run, ids: DataFrame | None = None) -> DataFrame:
     ids = changed_tracks(src, run) if ids is None else ids
     region = run.region
-    rows = has_parent(run.of_region(src["ted_track_w"]), ids, [KEY])
     if region.regional:
-        rows = has_parent(rows, tgt["track"], [KEY])
+        ids = run.stage(known_in(ids, tgt["track"], [KEY]), "known_track_ids")
+    rows = has_parent(run.of_region(src["ted_track_w"]), ids, [KEY])
 
     services = {"str": region.streaming, "dnl": region.download}
     if region.rental is not None:

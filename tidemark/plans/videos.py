@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.status import ACTIVE, BLIND, DELETED, status_of
 from tidemark.operators.apply import update_if
 from tidemark.operators.changes import changed_ids, changed_pairs, changed_since, touched_ids
-from tidemark.operators.joins import distinct_keys, has_parent, top1
+from tidemark.operators.joins import distinct_keys, has_parent, known_in, top1
 from tidemark.plans.context import Run, Tables, same_named
 from tidemark.schemas import TARGETS
 from tidemark.sources.sinks import is_empty
@@ -57,9 +57,9 @@ def sync_mv(src: Tables, tgt: Tables, run: Run, ids: DataFrame | None = None) ->
         rows = has_parent(base, ids, [KEY])
         status = status_of("db_sts")
         updated = "upd_dt"
-    rows = rows.join(first_track_of_mv(has_parent(links, ids, [KEY])), KEY).join(
-        tgt["track"].select("track_id", "artist_id"), "track_id"
-    )
+    rows = rows.join(first_track_of_mv(has_parent(links, ids, [KEY])), KEY)
+    # staged, the few rows are broadcast to the tracks and not the other way round
+    rows = run.stage(rows, "mv_rows").join(tgt["track"].select("track_id", "artist_id"), "track_id")
     renamed = {"upd_dt": F.col(updated), "status": status, "highrate_yn": F.col("high_yn")}
     names = TARGETS["mv"].names
     written = [c for c in names if c not in (KEY, "upd_dt")]
@@ -76,13 +76,14 @@ def sync_mv(src: Tables, tgt: Tables, run: Run, ids: DataFrame | None = None) ->
 def sync_mv_local(src: Tables, tgt: Tables, run: Run, ids: DataFrame | None = None) -> DataFrame:
     region = run.of_region(src["ted_mv_w"])
     if run.region.regional:
-        rows = changed_since(region, run.cut)
+        rows = run.stage(changed_since(region, run.cut), "mv_local_rows")
         inserted = {}
     else:
         rows = has_parent(region, changed_mvs(src, run) if ids is None else ids, [KEY])
+        rows = run.stage(rows, "mv_local_rows")
         # the generic sync merges the same rows twice, so new rows end up as updated
         inserted = {"upd_dt": run.now}
-    rows = has_parent(rows, tgt["mv"], [KEY])
+    rows = known_in(rows, tgt["mv"], [KEY])
     titles = {"mv_title_local": "src.mv_title"}
     return run.upsert(
         tgt["mv_local"],
