@@ -1,14 +1,19 @@
 """The user-level jobs: one catalogue sync or one rights sync of a region.
 
-Steps run in dependency order because later ones read the tables that earlier
-ones wrote. Each changed table is written once and read back, which cuts the
-lineage between steps; all of them become visible together at the end.
+Later steps read the tables that earlier ones wrote, so the steps run in waves;
+the steps of a wave do not depend on each other and run side by side, which
+keeps the cluster busy while one of them finishes its last tasks. Each changed
+table is written once and read back, which cuts the lineage between waves; all
+tables become visible together at the end.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,31 +28,38 @@ class _Session:
     """The targets of one run: as published, then as rewritten step by step."""
 
     def __init__(self, store: Snapshots, region: Region):
-        self.store = store
-        self.region = region
-        self.last, self.folders = store.published()
-        self.tables = store.read(self.folders)
+        self._store = store
+        self._region = region
+        self._last, self._folders = store.published()
         self._changed = False
+        self.tables = store.read(self._folders)
 
     def put(self, name: str, df: DataFrame, regions: tuple[str, ...] = ()) -> None:
         """Write a table's next version, unless the step left it as it was."""
         if df is self.tables[name]:
             return
         if name in REGION_TARGETS:
-            regions = tuple(sorted({self.region.code, *regions}))
-        self.folders |= self.store.write(df, name, self.last + 1, regions)
-        self.tables[name] = self.store.read_table(name, self.folders)
+            regions = tuple(sorted({self._region.code, *regions}))
+        self._folders.update(self._store.write(df, name, self._last + 1, regions))
+        self.tables[name] = self._store.read_table(name, self._folders)
         self._changed = True
 
     def regions_of(self, name: str) -> list[str]:
-        return [code for table, code in self.folders if table == name and code != WHOLE]
+        return [code for table, code in self._folders if table == name and code != WHOLE]
 
     def publish(self) -> dict[str, DataFrame]:
         if self._changed:
-            self.store.publish(self.folders, self.last + 1)
+            self._store.publish(self._folders, self._last + 1)
         return self.tables
 
 
+def _side_by_side(spark: SparkSession, *steps: Callable[[], object]) -> list[object]:
+    """Run independent steps in threads; the first failure is raised."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        started = [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]
+        return [step.result() for step in started]
+
+
 def sync_catalog(
     spark: SparkSession,
     src: Tables,
@@ -61,38 +73,60 @@ def sync_catalog(
     to = _Session(store, region)
     tgt = to.tables
 
-    if region.regional:
-        to.put("genre", genres.sync_genre(src, tgt, run))
-        to.put("style", genres.sync_style(src, tgt, run))
-
-    to.put("artist", artists.sync_artist(src, tgt, run))
-    to.put("artist_local", artists.sync_artist_local(src, tgt, run))
-    to.put("artist_style", artists.sync_artist_style(src, tgt, run))
-
-    album_ids = None if region.regional else albums.changed_albums(src, run)
-    to.put("album", albums.sync_album(src, tgt, run, album_ids))
-    album_local = albums.sync_album_local(src, tgt, run, album_ids)
-    if region.regional:
-        # nothing in between reads it, so the status from rights is set in the same write
-        album_local = albums.album_status_by_rights(src, tgt | {"album_local": album_local}, run)
-    to.put("album_local", album_local)
-
-    track_ids = tracks.changed_tracks(src, run)
-    to.put("track", tracks.sync_track(src, tgt, run, track_ids))
-    _put_track_local(to, src, run, track_ids)
-
-    styles = albums.changed_album_styles(src, run)
-    to.put("album_style", albums.sync_album_style(src, tgt, run, styles))
-    to.put("track_style", albums.sync_track_style(src, tgt, run, styles))
-
-    if region.regional:
-        mv_ids = None
-        blinded = videos.blind_deleted_mv(src, tgt, run)
-    else:
-        mv_ids = videos.changed_mvs(src, run)
-        blinded = tgt["mv"]
-    to.put("mv", videos.sync_mv(src, tgt | {"mv": blinded}, run, mv_ids))
-    to.put("mv_local", videos.sync_mv_local(src, tgt, run, mv_ids))
+    def genre_tree() -> None:
+        if region.regional:
+            to.put("genre", genres.sync_genre(src, tgt, run))
+            to.put("style", genres.sync_style(src, tgt, run))
+
+    def artist() -> None:
+        to.put("artist", artists.sync_artist(src, tgt, run))
+
+    def generic_album_ids() -> DataFrame | None:
+        return None if region.regional else albums.changed_albums(src, run)
+
+    def generic_mv_ids() -> DataFrame | None:
+        return None if region.regional else videos.changed_mvs(src, run)
+
+    _, _, album_ids, mv_ids, track_ids, album_styles = _side_by_side(
+        spark,
+        genre_tree,
+        artist,
+        generic_album_ids,
+        generic_mv_ids,
+        lambda: tracks.changed_tracks(src, run),
+        lambda: albums.changed_album_styles(src, run),
+    )
+
+    def album_local() -> None:
+        rows = albums.sync_album_local(src, tgt, run, album_ids)
+        if region.regional:
+            # no other step reads it, so the status from rights goes into the same write
+            rows = albums.album_status_by_rights(src, {"album_local": rows}, run)
+        to.put("album_local", rows)
+
+    def video() -> None:
+        before = videos.blind_deleted_mv(src, tgt, run) if region.regional else tgt["mv"]
+        to.put("mv", videos.sync_mv(src, tgt | {"mv": before}, run, mv_ids))
+        to.put("mv_local", videos.sync_mv_local(src, tgt, run, mv_ids))
+
+    _side_by_side(
+        spark,
+        lambda: to.put("artist_local", artists.sync_artist_local(src, tgt, run)),
+        lambda: to.put("artist_style", artists.sync_artist_style(src, tgt, run)),
+        lambda: to.put("album", albums.sync_album(src, tgt, run, album_ids)),
+    )
+    _side_by_side(
+        spark,
+        album_local,
+        lambda: to.put("album_style", albums.sync_album_style(src, tgt, run, album_styles)),
+        lambda: to.put("track", tracks.sync_track(src, tgt, run, track_ids)),
+    )
+    _side_by_side(
+        spark,
+        lambda: _put_track_local(to, src, run, track_ids),
+        lambda: to.put("track_style", albums.sync_track_style(src, tgt, run, album_styles)),
+        video,
+    )
     return to.publish()
 
 
@@ -120,6 +154,10 @@ def sync_rights(
     """Carry changed rights to the region's tracks and switch its albums on or off."""
     run = Run.start(spark, region, as_of, offset_days)
     to = _Session(store, region)
-    to.put("track_local", rights.sync_track_rights(src, to.tables, run))
-    to.put("album_local", albums.album_status_by_rights(src, to.tables, run))
+    tgt = to.tables
+    _side_by_side(
+        spark,
+        lambda: to.put("track_local", rights.sync_track_rights(src, tgt, run)),
+        lambda: to.put("album_local", albums.album_status_by_rights(src, tgt, run)),
+    )
     return to.publish()

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from itertools import count
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,11 +36,10 @@ class Staging:
     def __init__(self, spark: SparkSession):
         self._spark = spark
         self._root = f"{shared_folder(spark)}/tidemark-{uuid.uuid4().hex}"
-        self._count = 0
+        self._numbers = count(1)
 
     def __call__(self, df: DataFrame, label: str) -> DataFrame:
-        self._count += 1
-        path = f"{self._root}/{self._count:03d}_{label}"
+        path = f"{self._root}/{next(self._numbers):03d}_{label}"
         # rebalance: a change picked from thousands of scan tasks becomes a few even files
         df.hint("rebalance").write.parquet(path)
         return self._spark.read.schema(df.schema).parquet(path)
