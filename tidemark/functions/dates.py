@@ -30,8 +30,13 @@ def midnight(value: Column | str) -> Column:
 
 
 def stamp14(value: Column | str) -> Column:
-    """Fourteen digits: year to second."""
-    return F.date_format(as_column(value), "yyyyMMddHHmmss")
+    """Fourteen digits: year to second.
+
+    Taken from the text of the time without zone, because a formatter would move
+    times that the session's time zone skips.
+    """
+    text = as_column(value).cast("timestamp_ntz").cast("string")
+    return F.translate(F.substring(text, 1, 19), "- :", "")
 
 
 def changed(cut: datetime, *columns: str) -> Column:
