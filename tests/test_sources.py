@@ -181,7 +181,7 @@ def test_other_regions_and_unchanged_tables_keep_their_folder(spark):
     _, after = store.published()
     rewritten = {part for part in after if after[part] != before.get(part)}
     # genre and style are always merged whole; the status from rights is always set anew
-    assert rewritten <= {("genre", ""), ("style", ""), ("album_local", "VNM")}
+    assert {part[:2] for part in rewritten} <= {("genre", ""), ("style", ""), ("album_local", "VNM")}
     assert set(before) <= set(after)
 
 
@@ -204,4 +204,32 @@ def test_rights_run_touches_two_tables_of_one_region(spark):
     _, before = store.published()
     sync_rights(spark, src, store, JPN, tiny.AS_OF, offset_days=-5000)
     _, after = store.published()
-    assert {p for p in after if after[p] != before.get(p)} <= {("track_local", "JPN"), ("album_local", "JPN")}
+    changed = {part[:2] for part in after if after[part] != before.get(part)}
+    assert changed <= {("track_local", "JPN"), ("album_local", "JPN")}
+
+
+def test_only_touched_id_ranges_are_rewritten(spark):
+    store = Snapshots(spark, folder(spark), ids_per_part=100)
+    src = tiny.frames(spark, {n: [] for n in SOURCES})
+    old = {c: None for c in TARGETS["track"].names} | {"track_title": "old"}
+    tracks = [old | {"track_id": i, "album_id": 1} for i in range(0, 1000, 10)]
+    album = [{c: None for c in TARGETS["album"].names} | {"album_id": 1}]
+    empty = {n: [] for n in TARGETS}
+    store.seed(tiny.frames(spark, empty | {"track": tracks, "album": album}))
+    _, before = store.published()
+    assert len([p for p in before if p[0] == "track"]) == 10
+
+    row = {c: None for c in SOURCES["ted_track"].names}
+    new = [row | {"track_id": i, "album_id": 1, "track_title": "new"} for i in (15, 20, 1200)]
+    region = [{"track_id": i, "nation_cd": "VNM", "crt_dt": tiny.AS_OF} for i in (15, 20, 1200)]
+    empty_region = dict.fromkeys(SOURCES["ted_track_w"].names)
+    links = [dict.fromkeys(SOURCES["ted_trackartist"].names) | {"track_id": i} for i in (15, 20, 1200)]
+    src |= tiny.frames(
+        spark, {"ted_track": new, "ted_track_w": [empty_region | r for r in region], "ted_trackartist": links}
+    )
+    tables = sync_catalog(spark, src, store, VNM, tiny.AS_OF)
+    _, after = store.published()
+    rewritten = {p for p in after if p[0] == "track" and after[p] != before.get(p)}
+    assert rewritten == {("track", "", 0), ("track", "", 12)}
+    assert tables["track"].count() == 102
+    assert set(rows(tables["track"].where("track_title = 'new'").select("track_id"))) == {(15,), (20,), (1200,)}

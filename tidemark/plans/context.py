@@ -18,14 +18,23 @@ from tidemark.sources.staging import Staging
 Tables = Mapping[str, DataFrame]
 
 
+def whole_table(target: DataFrame, name: str, rows: DataFrame) -> DataFrame:
+    return target
+
+
 @dataclass(frozen=True)
 class Run:
-    """Region, run time, change cut and the place for intermediate tables."""
+    """Region, run time, change cut and the place for intermediate tables.
+
+    ``narrow`` may cut a target down to the part that given rows can change; by
+    default every step returns the whole next version of its target.
+    """
 
     region: Region
     as_of: datetime
     cut: datetime
     stage: Callable[[DataFrame, str], DataFrame]
+    narrow: Callable[[DataFrame, str, DataFrame], DataFrame] = whole_table
 
     @classmethod
     def start(
@@ -34,8 +43,9 @@ class Run:
         region: Region,
         as_of: datetime,
         offset_days: float | None = None,
+        narrow: Callable[[DataFrame, str, DataFrame], DataFrame] = whole_table,
     ) -> Run:
-        return cls(region, as_of, cutoff(as_of, offset_days), Staging(spark))
+        return cls(region, as_of, cutoff(as_of, offset_days), Staging(spark), narrow)
 
     @property
     def now(self) -> Column:
@@ -52,16 +62,16 @@ class Run:
         self,
         target: DataFrame,
         source: DataFrame,
-        label: str,
+        name: str,
         keys: Sequence[str],
         on_match: Mapping[str, Column | str],
         on_insert: Mapping[str, Column | str],
     ) -> DataFrame:
         """Stage the changed rows, then upsert them; the target itself if there are none."""
-        staged = self.stage(source, label)
+        staged = self.stage(source, name)
         if is_empty(staged):
             return target
-        return upsert(target, staged, keys, on_match, on_insert)
+        return upsert(self.narrow(target, name, staged), staged, keys, on_match, on_insert)
 
 
 def same_named(*columns: str) -> dict[str, str]:

@@ -57,8 +57,9 @@ def _sync(src: Tables, tgt: Tables, run: Run, services: Mapping[str, int]) -> Da
             values[column] = F.when(
                 F.col(f"src.{name}_n") > 0, yes_no(f"src.{name}_yn")
             ).otherwise(F.col(column))
+    touched = lookup.select(KEY, run.code.alias("local_cd"))
     return update_from_lookup(
-        tgt["track_local"],
+        run.narrow(tgt["track_local"], "track_local", touched),
         lookup,
         [KEY],
         values,

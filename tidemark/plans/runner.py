@@ -20,33 +20,40 @@ from pyspark.sql import functions as F
 from tidemark.config import Region
 from tidemark.plans import albums, artists, genres, rights, tracks, videos
 from tidemark.plans.context import Run, Tables
-from tidemark.schemas import REGION_TARGETS
-from tidemark.sources.snapshots import WHOLE, Snapshots
+from tidemark.sources.snapshots import Snapshots
 
 
 class _Session:
     """The targets of one run: as published, then as rewritten step by step."""
 
-    def __init__(self, store: Snapshots, region: Region):
+    def __init__(self, store: Snapshots):
         self._store = store
-        self._region = region
         self._last, self._folders = store.published()
         self._changed = False
         self.tables = store.read(self._folders)
 
-    def put(self, name: str, df: DataFrame, regions: tuple[str, ...] = ()) -> None:
-        """Write a table's next version, unless the step left it as it was."""
-        if df is self.tables[name]:
+    def narrow(self, target: DataFrame, name: str, rows: DataFrame) -> DataFrame:
+        """The parts of a table that the rows belong to; a target cut down before stays."""
+        if target is not self.tables[name]:
+            return target
+        return self._store.read_table(name, self._folders, self._store.parts_of(name, rows))
+
+    def of_region(self, name: str, code: str) -> DataFrame:
+        """All parts of one region."""
+        parts = [(c, number) for table, c, number in self._folders if table == name and c == code]
+        return self._store.read_table(name, self._folders, parts)
+
+    def regions_of(self, name: str) -> set[str]:
+        return {code for table, code, _ in self._folders if table == name}
+
+    def put(self, name: str, df: DataFrame, before: DataFrame | None = None) -> None:
+        """Write the parts a step has changed, unless it left the target as it was."""
+        if df is (self.tables[name] if before is None else before):
             return
-        if name in REGION_TARGETS:
-            regions = tuple(sorted({self._region.code, *regions}))
-        self._folders.update(self._store.write(df, name, self._last + 1, regions))
+        self._folders.update(self._store.write(df, name, self._last + 1))
         self.tables[name] = self._store.read_table(name, self._folders)
         self._changed = True
 
-    def regions_of(self, name: str) -> list[str]:
-        return [code for table, code in self._folders if table == name and code != WHOLE]
-
     def publish(self) -> dict[str, DataFrame]:
         if self._changed:
             self._store.publish(self._folders, self._last + 1)
@@ -69,8 +76,8 @@ def sync_catalog(
     offset_days: float | None = None,
 ) -> dict[str, DataFrame]:
     """Bring every target up to date with the changes since the cut; returns the new targets."""
-    run = Run.start(spark, region, as_of, offset_days)
-    to = _Session(store, region)
+    to = _Session(store)
+    run = Run.start(spark, region, as_of, offset_days, to.narrow)
     tgt = to.tables
 
     def genre_tree() -> None:
@@ -84,29 +91,32 @@ def sync_catalog(
     def generic_album_ids() -> DataFrame | None:
         return None if region.regional else albums.changed_albums(src, run)
 
-    def generic_mv_ids() -> DataFrame | None:
-        return None if region.regional else videos.changed_mvs(src, run)
-
     _, _, album_ids, mv_ids, track_ids, album_styles = _side_by_side(
         spark,
         genre_tree,
         artist,
         generic_album_ids,
-        generic_mv_ids,
+        lambda: videos.changed_mvs(src, run),
         lambda: tracks.changed_tracks(src, run),
         lambda: albums.changed_album_styles(src, run),
     )
 
     def album_local() -> None:
-        rows = albums.sync_album_local(src, tgt, run, album_ids)
-        if region.regional:
-            # no other step reads it, so the status from rights goes into the same write
-            rows = albums.album_status_by_rights(src, {"album_local": rows}, run)
-        to.put("album_local", rows)
+        if not region.regional:
+            to.put("album_local", albums.sync_album_local(src, tgt, run, album_ids))
+            return
+        # the status from rights concerns every album of the region; no other step
+        # reads it, so it goes into the same write
+        before = to.of_region("album_local", region.code)
+        synced = albums.sync_album_local(src, tgt | {"album_local": before}, run)
+        to.put("album_local", albums.album_status_by_rights(src, {"album_local": synced}, run))
 
     def video() -> None:
-        before = videos.blind_deleted_mv(src, tgt, run) if region.regional else tgt["mv"]
-        to.put("mv", videos.sync_mv(src, tgt | {"mv": before}, run, mv_ids))
+        before = to.narrow(tgt["mv"], "mv", mv_ids)
+        blinded = before
+        if region.regional:
+            blinded = videos.blind_deleted_mv(src, {"mv": before}, run)
+        to.put("mv", videos.sync_mv(src, tgt | {"mv": blinded}, run, mv_ids), before)
         to.put("mv_local", videos.sync_mv_local(src, tgt, run, mv_ids))
 
     _side_by_side(
@@ -132,15 +142,18 @@ def sync_catalog(
 
 def _put_track_local(to: _Session, src: Tables, run: Run, ids: DataFrame) -> None:
     """Region rows and lyrics types in one write. Lyrics may change rows of other
-    regions; only the regions found in the change are rewritten."""
+    regions too; region codes are few."""
     types = tracks.lyric_types(src, run, ids)
-    synced = tracks.sync_track_local(src, to.tables, run, ids)
-    known = to.regions_of("track_local")
-    with_lyrics = types.where(F.col("local_cd").isin(*known, run.region.code))
-    codes = [r[0] for r in with_lyrics.select("local_cd").distinct().collect()]
-    if codes:
+    known = to.regions_of("track_local") | {run.region.code}
+    sung = types.where(F.col("local_cd").isin(*known)).select("local_cd").distinct().collect()
+    codes = sorted({run.region.code, *[r[0] for r in sung]})
+    touched = ids.select(tracks.KEY, F.explode(F.array(*map(F.lit, codes))).alias("local_cd"))
+    before = to.narrow(to.tables["track_local"], "track_local", touched)
+
+    synced = tracks.sync_track_local(src, to.tables | {"track_local": before}, run, ids)
+    if sung:
         synced = tracks.set_lyrics_type(synced, types)
-    to.put("track_local", synced, tuple(codes))
+    to.put("track_local", synced, before)
 
 
 def sync_rights(
@@ -152,12 +165,13 @@ def sync_rights(
     offset_days: float | None = None,
 ) -> dict[str, DataFrame]:
     """Carry changed rights to the region's tracks and switch its albums on or off."""
-    run = Run.start(spark, region, as_of, offset_days)
-    to = _Session(store, region)
+    to = _Session(store)
+    run = Run.start(spark, region, as_of, offset_days, to.narrow)
     tgt = to.tables
+    album_local = {"album_local": to.of_region("album_local", region.code)}
     _side_by_side(
         spark,
         lambda: to.put("track_local", rights.sync_track_rights(src, tgt, run)),
-        lambda: to.put("album_local", albums.album_status_by_rights(src, tgt, run)),
+        lambda: to.put("album_local", albums.album_status_by_rights(src, album_local, run)),
     )
     return to.publish()

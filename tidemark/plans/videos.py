@@ -17,11 +17,13 @@ KEY = "mv_id"
 
 
 def changed_mvs(src: Tables, run: Run) -> DataFrame:
-    """Ids the generic sync works on."""
-    region = run.of_region(src["ted_mv_w"])
-    return run.stage(
-        changed_ids(region, src["ted_mvtrack"], None, KEY, run.cut, run.stage), "mv_ids"
-    )
+    """Ids that drive mv, and mv_local in the generic sync."""
+    region, links = run.of_region(src["ted_mv_w"]), src["ted_mvtrack"]
+    if run.region.regional:
+        ids = touched_ids(KEY, run.cut, [src["ted_mv"], region], links, ("upd_dt",))
+    else:
+        ids = changed_ids(region, links, None, KEY, run.cut, run.stage)
+    return run.stage(ids, "mv_ids")
 
 
 def blind_deleted_mv(src: Tables, tgt: Tables, run: Run) -> DataFrame:
@@ -45,15 +47,13 @@ def first_track_of_mv(links: DataFrame) -> DataFrame:
 
 def sync_mv(src: Tables, tgt: Tables, run: Run, ids: DataFrame | None = None) -> DataFrame:
     base, region, links = src["ted_mv"], run.of_region(src["ted_mv_w"]), src["ted_mvtrack"]
+    ids = changed_mvs(src, run) if ids is None else ids
     if run.region.regional:
-        touched = touched_ids(KEY, run.cut, [base, region], links, ("upd_dt",))
-        ids = run.stage(touched, "mv_ids")
         rows = changed_pairs(base, region, ids, KEY, run.cut)
         status = status_of("db_sts", "w_db_sts", approved="svc_aprv_yn")
         updated = "w_upd_dt"
         links = links.where(F.col("db_sts") == ACTIVE)
     else:
-        ids = changed_mvs(src, run) if ids is None else ids
         rows = has_parent(base, ids, [KEY])
         status = status_of("db_sts")
         updated = "upd_dt"

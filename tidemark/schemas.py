@@ -98,7 +98,10 @@ TARGETS: dict[str, StructType] = {
     "style": table("style_id:n genre_id:n style_nm crt_dt:t"),
 }
 
-# Targets with one row per region; their snapshots are split by region code.
+# Targets that grow with the catalogue, and the id whose ranges split them.
+PART_KEYS = {n: schema.names[0] for n, schema in TARGETS.items() if n not in ("genre", "style")}
+
+# Targets with one row per region; they are split by region code as well.
 REGION_TARGETS = ("artist_local", "album_local", "track_local", "mv_local")
 
 LOGIN_EVENT = table("msrl:n sso_srl:n login_ip login_tp widget_ref sso")

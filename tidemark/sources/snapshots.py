@@ -1,10 +1,13 @@
 """Versions of the target tables.
 
-Plain parquet tables cannot be updated in place, so a run writes the next
-version of each changed table to a new folder and publishes all of them at once
-with one small list of folders. Readers follow the latest list: they see a whole
-run or nothing of it. Unchanged tables, and the rows of regions a run did not
-touch, keep the folder they had.
+Plain parquet tables cannot be updated in place, so a run writes new folders and
+publishes all of them at once with one small list of folders. Readers follow the
+latest list: they see a whole run or nothing of it.
+
+A table is kept in parts, by region code and by range of its id. A run reads and
+rewrites only the parts that hold a changed id; all others keep their folder.
+New and recently edited items have neighbouring ids, so that is a small share of
+a big table.
 """
 
 from __future__ import annotations
@@ -13,29 +16,39 @@ from collections.abc import Iterable, Mapping
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from tidemark.schemas import REGION_TARGETS, TARGETS
+from tidemark.schemas import PART_KEYS, REGION_TARGETS, TARGETS
 
-_LIST = StructType([StructField(c, StringType()) for c in ("target", "local_cd", "path")])
-WHOLE = ""  # part name of a table that is not split by region
+Part = tuple[str, int]
+Folders = dict[tuple[str, str, int], str]
 
-Folders = dict[tuple[str, str], str]
+ALL_REGIONS = ""  # region code of a table without region rows
+_CODE, _NUMBER = "part_cd", "part_no"
+_LIST = StructType(
+    [
+        StructField("target", StringType()),
+        StructField(_CODE, StringType()),
+        StructField(_NUMBER, LongType()),
+        StructField("path", StringType()),
+    ]
+)
 
 
 class Snapshots:
     """The target tables under one root folder. One run at a time may write."""
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, ids_per_part: int = 10_000_000):
         self._spark = spark
         self._root = root.rstrip("/")
+        self._ids_per_part = ids_per_part
 
     def published(self) -> tuple[int, Folders]:
         """Number of the latest run and the folder of every table part.
 
-        One row per table part, so small.
+        One row per part, so small.
         """
         schema = StructType([*_LIST.fields, StructField("run", LongType())])
         try:
@@ -46,39 +59,62 @@ class Snapshots:
             return 0, {}
         latest = lists.agg(F.max("run")).first()[0]
         rows = lists.where(F.col("run") == latest).collect()
-        return latest, {(r["target"], r["local_cd"]): r["path"] for r in rows}
+        return latest, {(r["target"], r[_CODE], r[_NUMBER]): r["path"] for r in rows}
 
     def read(self, folders: Folders) -> dict[str, DataFrame]:
         return {name: self.read_table(name, folders) for name in TARGETS}
 
-    def read_table(self, name: str, folders: Folders) -> DataFrame:
+    def read_table(self, name: str, folders: Folders, parts: Iterable[Part] | None = None) -> DataFrame:
+        """A table, or only the given parts of it."""
         schema = TARGETS[name]
-        parts = [
-            self._spark.read.schema(schema)
-            .parquet(path)
-            # the folder holds one region only: said as a literal, a filter on
-            # another region drops the whole folder from the plan
-            .withColumn("local_cd", F.lit(code))
-            if code != WHOLE
-            else self._spark.read.schema(schema).parquet(path)
-            for (table, code), path in sorted(folders.items())
-            if table == name
+        wanted = None if parts is None else set(parts)
+        paths: dict[str, list[str]] = {}
+        for (table, code, number), path in sorted(folders.items()):
+            if table == name and (wanted is None or (code, number) in wanted):
+                paths.setdefault(code, []).append(path)
+        reader = self._spark.read.schema(schema).option("recursiveFileLookup", "true")
+        regions = [
+            # said as a literal, a filter on another region drops these files from the plan
+            reader.parquet(*found).withColumn("local_cd", F.lit(code))
+            if name in REGION_TARGETS
+            else reader.parquet(*found)
+            for code, found in paths.items()
         ]
-        return reduce(DataFrame.unionAll, parts) if parts else self._spark.createDataFrame([], schema)
-
-    def write(self, df: DataFrame, name: str, run: int, regions: Iterable[str] = ()) -> Folders:
-        """Write the next version of a table: the given regions' rows, or all rows."""
-        written = {}
-        for code in regions if name in REGION_TARGETS else [WHOLE]:
-            rows = df if code == WHOLE else df.where(F.col("local_cd") == code)
-            path = "/".join(p for p in (self._root, "versions", str(run), name, code) if p)
-            rows.write.parquet(path)
-            written[name, code] = path
-        return written
-
-    def publish(self, folders: Mapping[tuple[str, str], str], run: int) -> None:
+        return reduce(DataFrame.unionAll, regions) if regions else self._spark.createDataFrame([], schema)
+
+    def _part_columns(self, name: str) -> dict[str, Column]:
+        code = F.col("local_cd") if name in REGION_TARGETS else F.lit(ALL_REGIONS)
+        number = F.lit(0)
+        if name in PART_KEYS:
+            number = F.coalesce(F.expr(f"{PART_KEYS[name]} div {self._ids_per_part}"), F.lit(-1))
+        return {_CODE: code, _NUMBER: number.cast("long")}
+
+    def parts_of(self, name: str, rows: DataFrame) -> set[Part]:
+        """The parts that rows with a table's key columns belong to. Parts are few."""
+        columns = [c.alias(n) for n, c in self._part_columns(name).items()]
+        return {(r[_CODE], r[_NUMBER]) for r in rows.select(*columns).distinct().collect()}
+
+    def write(self, df: DataFrame, name: str, run: int) -> Folders:
+        """Write the next version of the parts that ``df`` holds whole."""
+        split = self._part_columns(name)
+        by = [_CODE, _NUMBER] if name in REGION_TARGETS else [_NUMBER]
+        path = f"{self._root}/versions/{run}/{name}"
+        df.withColumns({c: split[c] for c in by}).write.partitionBy(*by).parquet(path)
+        # the folders that came to be: a scan without columns
+        layout = StructType([f for f in _LIST.fields if f.name in by])
+        written = self._spark.read.schema(StructType([*TARGETS[name].fields, *layout.fields])).parquet(path)
+        folders = {}
+        for row in written.select(*by).distinct().collect():
+            code = row[_CODE] if _CODE in by else ALL_REGIONS
+            if code is None:
+                raise ValueError(f"{name} has rows without a region")
+            folder = "/".join([path, *[f"{c}={row[c]}" for c in by]])
+            folders[name, code, row[_NUMBER]] = folder
+        return folders
+
+    def publish(self, folders: Mapping[tuple[str, str, int], str], run: int) -> None:
         """Make a run visible. The list's single commit is the switch."""
-        rows = [(table, code, path) for (table, code), path in sorted(folders.items())]
+        rows = [(*part, path) for part, path in sorted(folders.items())]
         (
             self._spark.createDataFrame(rows, _LIST)
             .coalesce(1)
@@ -86,13 +122,8 @@ class Snapshots:
         )
 
     def seed(self, tables: Mapping[str, DataFrame]) -> None:
-        """Publish given tables as the first version. Region codes are few."""
+        """Publish given tables as the next version."""
         run, folders = self.published()
         for name, df in tables.items():
-            regions = []
-            if name in REGION_TARGETS:
-                regions = [r[0] for r in df.select("local_cd").distinct().collect()]
-                if None in regions:
-                    raise ValueError(f"{name} has rows without a region")
-            folders |= self.write(df, name, run + 1, sorted(regions))
+            folders.update(self.write(df, name, run + 1))
         self.publish(folders, run + 1)
