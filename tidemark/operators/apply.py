@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import as_column
-from tidemark.operators.joins import distinct_keys, raise_if
+from tidemark.operators.joins import distinct_keys, raise_if, with_keys
 
 _SRC = "src"
 _COUNT = "__n"
@@ -59,7 +59,7 @@ def upsert(
 
     # One row per key, folded on the map side: copies of one key cannot pile up.
     per_key = (
-        source.dropna(subset=keys)
+        with_keys(source, keys)
         .groupBy(*keys)
         .agg(F.first(source_row).alias(_SRC), F.count(F.lit(1)).alias(_COUNT))
     )
@@ -81,7 +81,7 @@ def upsert(
     # the source keys: never larger than the source.
     present = target.select(*keys).join(distinct_keys(source, keys), keys, "left_semi")
     keyless = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
-    fresh = source.dropna(subset=keys).join(present, keys, "left_anti")
+    fresh = with_keys(source, keys).join(present, keys, "left_anti")
     nothing = {f.name: F.lit(None) for f in target.schema.fields}
     inserted = (
         fresh.select(*source.columns)
@@ -139,7 +139,7 @@ def update_from_lookup(
     keys = list(on)
     values = _checked(target, set)
     row = F.struct(*[F.col(c) for c in lookup.columns])
-    lookup = lookup.dropna(subset=keys)
+    lookup = with_keys(lookup, keys)
     if bad is None:
         per_key = lookup.groupBy(*keys).agg(F.first(row).alias(_SRC), F.count(F.lit(1)).alias(_COUNT))
         bad = F.col(_COUNT) > 1

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,9 +23,14 @@ def raise_if(bad: Column, message: str) -> Column:
     return F.when(bad, failing).otherwise(F.lit(True))
 
 
+def with_keys(df: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Rows without a NULL in the key; only these can match anything."""
+    return df.where(reduce(Column.__and__, [F.col(k).isNotNull() for k in on]))
+
+
 def distinct_keys(df: DataFrame, on: Sequence[str]) -> DataFrame:
     """Distinct non-NULL keys, reduced on the map side before any shuffle."""
-    return df.select(*on).dropna(subset=list(on)).distinct()
+    return with_keys(df.select(*on), on).distinct()
 
 
 def has_parent(df: DataFrame, parent: DataFrame, on: Sequence[str], unique: bool = True) -> DataFrame:
@@ -75,7 +81,7 @@ def lookup_one(
     multiplies rows nor fills one task.
     """
     single = (
-        other.dropna(subset=list(on))
+        with_keys(other, on)
         .groupBy(*on)
         .agg(F.min(value).alias(alias), F.count(F.lit(1)).alias(_COUNT))
     )
@@ -108,7 +114,7 @@ def first_child(
         living = has_parent(links, parent, [child])
     else:
         living = known_in(stage(links, f"links_{key}"), parent, [child])
-    chosen = living.dropna(subset=[key]).groupBy(key).agg(F.min(child).alias(child))
+    chosen = with_keys(living, [key]).groupBy(key).agg(F.min(child).alias(child))
     return df.join(chosen, key, "left")
 
 
