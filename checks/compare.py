@@ -1,6 +1,6 @@
 """Run the registered queries on Spark and DuckDB and compare the rows.
 
-Usage: python -m checks.compare [sf dir] [name prefix ...]
+Usage: python -m checks.compare [sf dir] [name prefix ...] [spark setting=value ...]
 """
 
 from __future__ import annotations
@@ -46,16 +46,20 @@ def compare(spark: SparkSession, con: duckdb.DuckDBPyConnection, sf_dir: str, na
 
 
 def main() -> int:
-    sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    prefixes = tuple(sys.argv[2:])
-    spark = (
+    settings = dict(a.split("=", 1) for a in sys.argv[1:] if "=" in a)
+    words = [a for a in sys.argv[1:] if "=" not in a]
+    sf_dir = words[0] if words else "/root/testdata/sf0.01"
+    prefixes = tuple(words[1:])
+    builder = (
         SparkSession.builder.master("local[8]")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
-        .getOrCreate()
     )
+    for key, value in settings.items():
+        builder = builder.config(key, value)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)
     bad = 0

@@ -39,7 +39,7 @@ from tidemark.plans.logins import ingest_logins, is_mobile, parse_client, valid_
 from tidemark.plans.runner import sync_catalog, sync_rights
 from tidemark.schemas import INDEX_DDL, LOGIN_LOG, TARGETS
 from tidemark.sources.catalog import load_sources
-from tidemark.sources.sinks import append_rows, ensure_table, truncate_reload
+from tidemark.sources.sinks import append_rows, ensure_table, is_empty, truncate_reload
 from tidemark.sources.snapshots import Snapshots
 from tidemark.sources.staging import Staging, shared_folder
 from tidemark.streaming.logins import ingest_logins_stream, read_login_stream
@@ -278,7 +278,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     sites = standin(spark, sf, "tfm_website").where(F.col("rel_entity_cd") == "ted_artist")
     sites = sites.select(F.col("rel_id").alias("artist_id"), "site_url")
     rows = standin(spark, sf, "ted_trackartist").select("artist_id")
-    return lookup_one(rows, sites, ["artist_id"], "site_url", "homepage_url")
+    return lookup_one(rows, sites, ["artist_id"], "site_url", "homepage_url", stage=Staging(spark))
 
 
 @_register(
@@ -690,6 +690,21 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("track_id", "nation_cd", "track_title", "upd_dt")
 
 
+@_register(
+    "is_empty",
+    """SELECT o_orderstatus, (SELECT count(*) FROM lineitem WHERE l_returnflag = 'R') = 0 AS none_returned,
+       (SELECT count(*) FROM lineitem WHERE l_returnflag = '?') = 0 AS none_odd, count(*) AS n
+       FROM orders GROUP BY o_orderstatus""",
+)
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    lines = given(spark, sf, "lineitem")
+    flags = {"none_returned": "R", "none_odd": "?"}
+    return given(spark, sf, "orders").groupBy("o_orderstatus").agg(
+        *[F.lit(is_empty(lines.where(F.col("l_returnflag") == f))).alias(n) for n, f in flags.items()],
+        F.count(F.lit(1)).alias("n"),
+    )
+
+
 def _sink(spark: SparkSession, label: str) -> tuple[str, str]:
     return f"{label}_{uuid.uuid4().hex}", _new_folder(spark)
 

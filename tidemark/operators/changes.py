@@ -6,7 +6,7 @@ only ids travel through shuffles.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from datetime import datetime
 from functools import reduce
 
@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import changed
-from tidemark.operators.joins import has_parent
+from tidemark.operators.joins import Stage, has_parent
 
 CREATED_OR_UPDATED = ("crt_dt", "upd_dt")
 
@@ -57,7 +57,7 @@ def changed_ids(
     base: DataFrame | None,
     key: str,
     cut: datetime,
-    stage: Callable[[DataFrame, str], DataFrame] | None = None,
+    stage: Stage | None = None,
 ) -> DataFrame:
     """Ids that have a region row and an association row, any of them changed.
 

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.text import as_column
 
+Stage = Callable[[DataFrame, str], DataFrame]
+
 _FLAG = "__hit"
 _COUNT = "__n"
 
@@ -43,15 +45,16 @@ def has_parent(df: DataFrame, parent: DataFrame, on: Sequence[str], unique: bool
     return df.join(keys, list(on), "left_semi")
 
 
-def known_in(rows: DataFrame, parent: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Rows of a small staged frame with a match in a big ``parent``.
+def known_in(rows: DataFrame, parent: DataFrame, on: Sequence[str], stage: Stage) -> DataFrame:
+    """Rows of a staged frame with a match in a big ``parent``.
 
     The same rows as :func:`has_parent`, but the parent is first cut down to the
     keys that occur in ``rows``: its key columns stream past the broadcast keys
-    instead of all being shuffled to meet a few rows.
+    instead of all being shuffled to meet a few rows. What is left of it is staged
+    too, so Spark knows its size; if both sides are big, it can split hot keys.
     """
     present = has_parent(parent.select(*on), rows, on, unique=False)
-    return rows.join(present, list(on), "left_semi")
+    return rows.join(stage(present, "_".join(["known", *on])), list(on), "left_semi")
 
 
 def lacks(df: DataFrame, other: DataFrame, on: Sequence[str], unique: bool = False) -> DataFrame:
@@ -73,18 +76,22 @@ def lookup_one(
     value: str,
     alias: str,
     default: Column | str | None = None,
+    stage: Stage | None = None,
 ) -> DataFrame:
     """Add the value of the single match, or the default when there is none.
 
     Fails when a row of ``df`` has several matches. The matches are reduced to a
     count and one value per key before the join, so a duplicated key neither
-    multiplies rows nor fills one task.
+    multiplies rows nor fills one task. With ``stage`` they are written first;
+    that lets Spark split the rows of ``df`` if one key owns very many of them.
     """
     single = (
         with_keys(other, on)
         .groupBy(*on)
         .agg(F.min(value).alias(alias), F.count(F.lit(1)).alias(_COUNT))
     )
+    if stage is not None:
+        single = stage(single, f"lookup_{alias}")
     found = df.join(single, list(on), "left").where(
         raise_if(F.col(_COUNT) > 1, f"lookup of {alias}: more than one row for a key")
     )
@@ -101,7 +108,7 @@ def first_child(
     child: str,
     alive: Column,
     parent: DataFrame,
-    stage: Callable[[DataFrame, str], DataFrame] | None = None,
+    stage: Stage | None = None,
 ) -> DataFrame:
     """Add one living child per row that exists in ``parent``: the smallest id.
 
@@ -113,7 +120,7 @@ def first_child(
     if stage is None:
         living = has_parent(links, parent, [child])
     else:
-        living = known_in(stage(links, f"links_{key}"), parent, [child])
+        living = known_in(stage(links, f"links_{key}"), parent, [child], stage)
     chosen = with_keys(living, [key]).groupBy(key).agg(F.min(child).alias(child))
     return df.join(chosen, key, "left")
 

@@ -63,7 +63,7 @@ def sync_album_local(src: Tables, tgt: Tables, run: Run, ids: DataFrame | None =
     region = run.of_region(src["ted_album_w"])
     if run.region.regional:
         touched = touched_ids(KEY, run.cut, [region], src["ted_albumartist"], ("upd_dt",))
-        touched = known_in(run.stage(touched, "album_local_ids"), tgt["album"], [KEY])
+        touched = known_in(run.stage(touched, "album_local_ids"), tgt["album"], [KEY], run.stage)
         rows = region.join(run.stage(touched, "album_local_known"), KEY).where(
             changed(run.cut, "crt_dt", "upd_dt") | F.col("by_child")
         )
@@ -90,8 +90,8 @@ def changed_album_styles(src: Tables, run: Run) -> DataFrame:
 def sync_album_style(src: Tables, tgt: Tables, run: Run, styles: DataFrame | None = None) -> DataFrame:
     rows = changed_album_styles(src, run) if styles is None else styles
     if run.region.regional:
-        rows = known_in(rows, tgt["album"], [KEY])
-        rows = known_in(rows, tgt["style"], ["style_id"])
+        rows = known_in(rows, tgt["album"], [KEY], run.stage)
+        rows = known_in(rows, tgt["style"], ["style_id"], run.stage)
     return run.upsert(
         tgt["album_style"],
         rows.select(KEY, "style_id", "listorder", "crt_dt"),
@@ -107,7 +107,7 @@ def sync_track_style(src: Tables, tgt: Tables, run: Run, styles: DataFrame | Non
     rows = changed_album_styles(src, run) if styles is None else styles
     rows = rows.select(KEY, "style_id", "listorder", "crt_dt")
     if run.region.regional:
-        rows = known_in(rows, tgt["style"], ["style_id"])
+        rows = known_in(rows, tgt["style"], ["style_id"], run.stage)
     rows = rows.join(tgt["track"].select("track_id", KEY), KEY).drop(KEY)
     return run.upsert(
         tgt["track_style"],

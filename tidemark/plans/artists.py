@@ -45,7 +45,7 @@ def sync_artist(src: Tables, tgt: Tables, run: Run) -> DataFrame:
 def sync_artist_local(src: Tables, tgt: Tables, run: Run) -> DataFrame:
     rows = changed_since(run.of_region(src["ted_artist_w"]), run.cut)
     if run.region.regional:
-        rows = known_in(run.stage(rows, "artist_local_rows"), tgt["artist"], [KEY])
+        rows = known_in(run.stage(rows, "artist_local_rows"), tgt["artist"], [KEY], run.stage)
     names = {"disp_nm_local": "src.artist_nm", "search_nm_local": "src.artist_nm"}
     return run.upsert(
         tgt["artist_local"],
@@ -62,8 +62,8 @@ def sync_artist_local(src: Tables, tgt: Tables, run: Run) -> DataFrame:
 def sync_artist_style(src: Tables, tgt: Tables, run: Run) -> DataFrame:
     rows = changed_styles(src["tbm_artiststyle"], KEY, run.of_region(src["ted_artist_w"]), run)
     if run.region.regional:
-        rows = known_in(rows, tgt["artist"], [KEY])
-        rows = known_in(rows, tgt["style"], ["style_id"])
+        rows = known_in(rows, tgt["artist"], [KEY], run.stage)
+        rows = known_in(rows, tgt["style"], ["style_id"], run.stage)
     return run.upsert(
         tgt["artist_style"],
         rows.select(KEY, "style_id", "listorder"),

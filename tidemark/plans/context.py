@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tidemark.config import Region
 from tidemark.functions.dates import at, cutoff
 from tidemark.operators.apply import upsert
+from tidemark.operators.joins import Stage
 from tidemark.sources.sinks import is_empty
 from tidemark.sources.staging import Staging
 
@@ -33,7 +34,7 @@ class Run:
     region: Region
     as_of: datetime
     cut: datetime
-    stage: Callable[[DataFrame, str], DataFrame]
+    stage: Stage
     narrow: Callable[[DataFrame, str, DataFrame], DataFrame] = whole_table
 
     @classmethod

@@ -9,17 +9,15 @@ tables become visible together at the end.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.config import Region
 from tidemark.plans import albums, artists, genres, rights, tracks, videos
 from tidemark.plans.context import Run, Tables
+from tidemark.sources.parallel import side_by_side
 from tidemark.sources.snapshots import Snapshots
 
 
@@ -60,13 +58,6 @@ class _Session:
         return self.tables
 
 
-def _side_by_side(spark: SparkSession, *steps: Callable[[], object]) -> list[object]:
-    """Run independent steps in threads; the first failure is raised."""
-    with ThreadPoolExecutor(len(steps)) as pool:
-        started = [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]
-        return [step.result() for step in started]
-
-
 def sync_catalog(
     spark: SparkSession,
     src: Tables,
@@ -91,7 +82,7 @@ def sync_catalog(
     def generic_album_ids() -> DataFrame | None:
         return None if region.regional else albums.changed_albums(src, run)
 
-    _, _, album_ids, mv_ids, track_ids, album_styles = _side_by_side(
+    _, _, album_ids, mv_ids, track_ids, album_styles = side_by_side(
         spark,
         genre_tree,
         artist,
@@ -119,19 +110,19 @@ def sync_catalog(
         to.put("mv", videos.sync_mv(src, tgt | {"mv": blinded}, run, mv_ids), before)
         to.put("mv_local", videos.sync_mv_local(src, tgt, run, mv_ids))
 
-    _side_by_side(
+    side_by_side(
         spark,
         lambda: to.put("artist_local", artists.sync_artist_local(src, tgt, run)),
         lambda: to.put("artist_style", artists.sync_artist_style(src, tgt, run)),
         lambda: to.put("album", albums.sync_album(src, tgt, run, album_ids)),
     )
-    _side_by_side(
+    side_by_side(
         spark,
         album_local,
         lambda: to.put("album_style", albums.sync_album_style(src, tgt, run, album_styles)),
         lambda: to.put("track", tracks.sync_track(src, tgt, run, track_ids)),
     )
-    _side_by_side(
+    side_by_side(
         spark,
         lambda: _put_track_local(to, src, run, track_ids),
         lambda: to.put("track_style", albums.sync_track_style(src, tgt, run, album_styles)),
@@ -169,7 +160,7 @@ def sync_rights(
     run = Run.start(spark, region, as_of, offset_days, to.narrow)
     tgt = to.tables
     album_local = {"album_local": to.of_region("album_local", region.code)}
-    _side_by_side(
+    side_by_side(
         spark,
         lambda: to.put("track_local", rights.sync_track_rights(src, tgt, run)),
         lambda: to.put("album_local", albums.album_status_by_rights(src, album_local, run)),

@@ -32,7 +32,7 @@ def sync_track(src: Tables, tgt: Tables, run: Run, ids: DataFrame | None = None)
     base = src["ted_track"]
     if run.region.regional:
         rows = base_with_region(base, run.of_region(src["ted_track_w"]), ids, KEY)
-        rows = known_in(run.stage(rows, "track_rows"), tgt["album"], ["album_id"])
+        rows = known_in(run.stage(rows, "track_rows"), tgt["album"], ["album_id"], run.stage)
         status = status_of("db_sts", "w_db_sts")
     else:
         rows = has_parent(base, ids, [KEY])
@@ -66,7 +66,7 @@ def sync_track_local(src: Tables, tgt: Tables, run: Run, ids: DataFrame | None =
     ids = changed_tracks(src, run) if ids is None else ids
     region = run.region
     if region.regional:
-        ids = run.stage(known_in(ids, tgt["track"], [KEY]), "known_track_ids")
+        ids = run.stage(known_in(ids, tgt["track"], [KEY], run.stage), "known_track_ids")
     rows = has_parent(run.of_region(src["ted_track_w"]), ids, [KEY])
 
     services = {"str": region.streaming, "dnl": region.download}

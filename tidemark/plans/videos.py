@@ -83,7 +83,7 @@ def sync_mv_local(src: Tables, tgt: Tables, run: Run, ids: DataFrame | None = No
         rows = run.stage(rows, "mv_local_rows")
         # the generic sync merges the same rows twice, so new rows end up as updated
         inserted = {"upd_dt": run.now}
-    rows = known_in(rows, tgt["mv"], [KEY])
+    rows = known_in(rows, tgt["mv"], [KEY], run.stage)
     titles = {"mv_title_local": "src.mv_title"}
     return run.upsert(
         tgt["mv_local"],

@@ -13,7 +13,7 @@ a big table.
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from tidemark.schemas import PART_KEYS, REGION_TARGETS, TARGETS
+from tidemark.sources.parallel import side_by_side
 
 Part = tuple[str, int]
 Folders = dict[tuple[str, str, int], str]
@@ -124,6 +125,7 @@ class Snapshots:
     def seed(self, tables: Mapping[str, DataFrame]) -> None:
         """Publish given tables as the next version."""
         run, folders = self.published()
-        for name, df in tables.items():
-            folders.update(self.write(df, name, run + 1))
+        steps = [partial(self.write, df, name, run + 1) for name, df in tables.items()]
+        for written in side_by_side(self._spark, *steps):
+            folders.update(written)
         self.publish(folders, run + 1)
