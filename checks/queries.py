@@ -653,7 +653,7 @@ def _digest(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def _run_job(spark: SparkSession, sf: str, job: Callable, region: Region) -> DataFrame:
-    store = Snapshots(spark, _new_folder(spark), ids_per_part=50_000)
+    store = Snapshots(spark, _new_folder(spark), ids_per_part=1_000_000)
     store.seed(targets(spark, sf))
     job(spark, sources(spark, sf), store, region, AS_OF)
     _, folders = store.published()
