@@ -10,7 +10,7 @@ import time
 import traceback
 
 import duckdb
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from checks.queries import ORACLES, QUERIES
 
@@ -32,15 +32,12 @@ def rows_of(columns: list[str], rows: list) -> tuple[list[str], list[str]]:
     return [columns[i] for i in order], sorted(repr(tuple(r[i] for i in order)) for r in rows)
 
 
-def compare(spark: SparkSession, con: duckdb.DuckDBPyConnection, sf_dir: str, name: str) -> str:
-    started = time.time()
-    df = QUERIES[name](spark, sf_dir)
+def compare(df: DataFrame, con: duckdb.DuckDBPyConnection, name: str) -> str:
     mine = rows_of(df.columns, df.collect())
-    took = time.time() - started
     result = con.execute(ORACLES[name])
     theirs = rows_of([d[0] for d in result.description], result.fetchall())
     if mine == theirs:
-        return f"ok   {name}: {len(mine[1])} rows, {took:.1f}s"
+        return f"ok   {name}: {len(mine[1])} rows"
     only = sorted(set(mine[1]) - set(theirs[1]))[:2], sorted(set(theirs[1]) - set(mine[1]))[:2]
     return f"DIFF {name}: {len(mine[1])} / {len(theirs[1])} rows; {mine[0] == theirs[0]}; {only}"
 
@@ -64,14 +61,15 @@ def main() -> int:
     con = connect(sf_dir)
     bad = 0
     for name in [n for n in QUERIES if not prefixes or n.startswith(prefixes)]:
+        started = time.time()
         try:
-            line = compare(spark, con, sf_dir, name)
+            line = compare(QUERIES[name](spark, sf_dir), con, name)
         except Exception as error:
             line = f"FAIL {name}: {type(error).__name__} {str(error)[:600]}"
             if prefixes:
                 traceback.print_exc()
         bad += not line.startswith("ok")
-        print(line, flush=True)
+        print(f"{line}, {time.time() - started:.1f}s", flush=True)
     print(f"{len(QUERIES)} queries, {bad} bad")
     return bad
 

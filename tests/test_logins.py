@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+import re
 import uuid
 from datetime import datetime
 
@@ -66,6 +68,73 @@ def test_parse_alone_looks_at_the_string_only(spark):
     assert (14, "1.0.2", "iOS", "3", "iPhone", "Apple", None) in rows(got)
 
 
+def cut(text, start, length):
+    """A substring where an empty result or a length below one is NULL."""
+    if text is None or length is None or length < 1:
+        return None
+    return text[start - 1 : start - 1 + length] or None
+
+
+def loop_model(kind, sso):
+    """The parsed columns and the exception, one variable after the other."""
+    out = dict.fromkeys(COLUMNS)
+    if kind != "M":
+        return out, None
+    known = re.search(r"i[Pp]hone\s|i[Pp]od\s|i[Pp]ad\s|[Aa]ndroid\s|[Ww]indows mobile\s", sso or "")
+    if not known or not re.match(r"Bugs\s", sso):
+        return out, sso
+    total = len(sso) if sso.startswith("Bugs ") else None
+    body = (cut(sso, 6, total) if total else sso).replace(", ", ",")
+    bracket = body.find("(") + 1
+    out["m_app_ver"] = cut(body, 1, bracket - 2)
+    rest = cut(body, bracket + 1, total)
+    if rest is None:
+        return out, None
+    closed = re.search(r"[0-9.]+\)", rest)
+    version = closed.group().replace(")", "") if closed else None
+    apple = re.search("i[Pp]hone|i[Pp]od|i[Pp]ad", rest)
+    android = re.search("[Aa]ndroid", rest)
+    if android:
+        out["m_platform_nm"] = android.group()
+        for number, part in enumerate(rest.replace(")", "").split(","), 1):
+            if number == 1:
+                out["m_platform_ver"] = cut(re.sub("[Aa]ndroid ", "", part), 1, 20)
+            elif number <= 4:
+                out[{2: "m_device_nm", 3: "m_comp_nm", 4: "m_device_no"}[number]] = cut(part, 1, 50)
+    elif re.search("[Ww]indows mobile", rest):
+        out["m_platform_nm"] = "Windows mobile" if "Windows mobile" in rest else None
+        out["m_platform_ver"] = version or None
+    elif apple:
+        out |= {"m_platform_nm": "iOS", "m_device_nm": apple.group(), "m_comp_nm": "Apple"}
+        out["m_platform_ver"] = version or None
+    return out, None
+
+
+PIECES = [
+    "Bugs ", "Bugs ", "Bugs\t", "bugs ", "(", "(", ")", ")", ", ", ",", ",,", " ", "1.0.2", "3", ".", "é한",
+    "Android ", "android ", "Android", "iPhone ", "iphone", "iPod ", "ipad ", "Windows mobile ", "windows mobile ",
+    "Windows", "x" * 60, "9" * 25,
+]
+
+
+def test_random_strings_against_a_loop(spark):
+    rng = random.Random(7)
+    data = []
+    for i in range(6000):
+        start = rng.choice(["Bugs ", "Bugs ", "Bugs ", ""])
+        sso = start + "".join(rng.choice(PIECES) for _ in range(rng.randrange(0, 9)))
+        data.append((i, i, None, rng.choice(["M", "M", "M", "W", None]), None, sso or None))
+    df = spark.createDataFrame(data, LOGIN_EVENT).repartition(8)
+    got = {r["msrl"]: r for r in ingest_logins(df, AS_OF).collect()}
+    parsed = 0
+    for i, _, _, kind, _, sso in data:
+        columns, exception = loop_model(kind, sso)
+        assert {c: got[i][c] for c in COLUMNS} == columns, sso
+        assert got[i]["m_exception"] == exception, sso
+        parsed += columns["m_platform_nm"] is not None
+    assert parsed > 1000
+
+
 def test_log_has_no_shuffle(spark):
     plan = ingest_logins(events(spark), AS_OF)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan

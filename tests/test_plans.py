@@ -9,9 +9,8 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from checks.queries import QUERIES, REGIONS, STEPS
+from checks.queries import REGIONS, STEPS
 from checks.standin import AS_OF, sources, targets
-from tests.test_queries import SF_DIR
 from tidemark import VNM
 from tidemark.operators.changes import changed_since
 from tidemark.operators.joins import has_parent, top1
@@ -97,13 +96,6 @@ def test_keys_are_reduced_before_the_shuffle(spark, stored, no_broadcast):
     assert any(o.startswith("HashAggregate") for o in operators[shuffled:])
 
 
-@pytest.mark.parametrize("name", [n for n in QUERIES if not n.startswith(("catalog", "rights"))])
-def test_no_query_pairs_all_rows(spark, name):
-    plan = plan_of(QUERIES[name](spark, SF_DIR))
-    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
-    assert "Python" not in plan
-
-
 def test_one_key_with_a_third_of_the_rows(spark, no_broadcast):
     """A hot key is folded on the map side, and the result is whole."""
     hot = spark.range(30_000).select(

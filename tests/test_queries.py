@@ -18,7 +18,11 @@ def con():
 
 @pytest.mark.parametrize("name", QUERIES)
 def test_query(spark, con, name):
-    assert compare(spark, con, SF_DIR, name).startswith("ok")
+    df = QUERIES[name](spark, SF_DIR)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    # no query pairs all rows or leaves the JVM
+    assert not [o for o in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python") if o in plan]
+    assert compare(df, con, name).startswith("ok")
 
 
 def test_every_query_has_sql():

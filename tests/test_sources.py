@@ -11,6 +11,7 @@ from tidemark import JPN, VNM, generic_region, sync_catalog, sync_rights
 from tidemark.config import Region
 from tidemark.plans.ddl_text import index_ddl_extract, reload_index_ddl
 from tidemark.schemas import DDL_TEXT, INDEX_DDL, LOGIN_LOG, SOURCES, TARGETS
+from tidemark.sources import snapshots
 from tidemark.sources.catalog import jdbc_options, load_sources
 from tidemark.sources.sinks import append_rows, ensure_table, fill_columns, is_empty, truncate_reload
 from tidemark.sources.snapshots import Snapshots
@@ -165,6 +166,16 @@ def test_seed_refuses_rows_without_a_region(spark):
         store.seed({"mv_local": fill_columns(df, TARGETS["mv_local"])})
 
 
+def test_scattered_ids_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(snapshots, "MAX_PARTS", 3)
+    store = Snapshots(spark, folder(spark), ids_per_part=10)
+    ids = fill_columns(spark.range(40).withColumnRenamed("id", "mv_id"), TARGETS["mv"])
+    with pytest.raises(ValueError, match="raise ids_per_part"):
+        store.seed({"mv": ids})
+    store.seed({"mv": ids.where("mv_id < 30")})
+    assert store.published()[0] == 1
+
+
 def test_first_run_into_an_empty_store(spark):
     src, _, _ = seeded(spark)
     store = Snapshots(spark, folder(spark))

@@ -26,6 +26,7 @@ from tidemark.sources.parallel import side_by_side
 Part = tuple[str, int]
 Folders = dict[tuple[str, str, int], str]
 
+MAX_PARTS = 10_000
 ALL_REGIONS = ""  # region code of a table without region rows
 _CODE, _NUMBER = "part_cd", "part_no"
 _LIST = StructType(
@@ -91,9 +92,15 @@ class Snapshots:
         return {_CODE: code, _NUMBER: number.cast("long")}
 
     def parts_of(self, name: str, rows: DataFrame) -> set[Part]:
-        """The parts that rows with a table's key columns belong to. Parts are few."""
+        """The parts that rows with a table's key columns belong to.
+
+        Refuses ids so scattered that their ranges would make too many folders.
+        """
         columns = [c.alias(n) for n, c in self._part_columns(name).items()]
-        return {(r[_CODE], r[_NUMBER]) for r in rows.select(*columns).distinct().collect()}
+        found = rows.select(*columns).distinct().limit(MAX_PARTS + 1).collect()
+        if len(found) > MAX_PARTS:
+            raise ValueError(f"{name} would have more than {MAX_PARTS} parts: raise ids_per_part")
+        return {(r[_CODE], r[_NUMBER]) for r in found}
 
     def write(self, df: DataFrame, name: str, run: int) -> Folders:
         """Write the next version of the parts that ``df`` holds whole."""
@@ -125,6 +132,8 @@ class Snapshots:
     def seed(self, tables: Mapping[str, DataFrame]) -> None:
         """Publish given tables as the next version."""
         run, folders = self.published()
+        for name, df in tables.items():
+            self.parts_of(name, df)
         steps = [partial(self.write, df, name, run + 1) for name, df in tables.items()]
         for written in side_by_side(self._spark, *steps):
             folders.update(written)
