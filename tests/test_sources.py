@@ -208,6 +208,17 @@ def test_nothing_is_published_when_a_step_fails(spark):
     assert run == 1
     for name, want in tiny.as_rows(tgt).items():
         assert rows(store.read(folders)[name]) == want
+    # and the next attempt is not in the way of the failed one
+    sync_catalog(spark, src | {"tfm_website": twice.limit(0)}, store, region, tiny.AS_OF, offset_days=-5000)
+    assert store.published()[0] == 2
+
+
+def test_two_runs_from_one_version_do_not_both_publish(spark):
+    _, _, store = seeded(spark)
+    run, folders = store.published()
+    store.publish(folders, run + 1)
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        store.publish(folders, run + 1)
 
 
 def test_rights_run_touches_two_tables_of_one_region(spark):

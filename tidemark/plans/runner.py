@@ -27,6 +27,7 @@ class _Session:
     def __init__(self, store: Snapshots):
         self._store = store
         self._last, self._folders = store.published()
+        self._version = store.new_version(self._last + 1)
         self._changed = False
         self.tables = store.read(self._folders)
 
@@ -48,7 +49,7 @@ class _Session:
         """Write the parts a step has changed, unless it left the target as it was."""
         if df is (self.tables[name] if before is None else before):
             return
-        self._folders.update(self._store.write(df, name, self._last + 1))
+        self._folders.update(self._store.write(df, name, self._version))
         self.tables[name] = self._store.read_table(name, self._folders)
         self._changed = True
 

@@ -12,6 +12,7 @@ a big table.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Mapping
 from functools import partial, reduce
 
@@ -102,11 +103,15 @@ class Snapshots:
             raise ValueError(f"{name} would have more than {MAX_PARTS} parts: raise ids_per_part")
         return {(r[_CODE], r[_NUMBER]) for r in found}
 
-    def write(self, df: DataFrame, name: str, run: int) -> Folders:
+    def new_version(self, run: int) -> str:
+        """Folder name of one attempt at a run; a failed attempt does not block the next."""
+        return f"{run}-{uuid.uuid4().hex[:8]}"
+
+    def write(self, df: DataFrame, name: str, version: str) -> Folders:
         """Write the next version of the parts that ``df`` holds whole."""
         split = self._part_columns(name)
         by = [_CODE, _NUMBER] if name in REGION_TARGETS else [_NUMBER]
-        path = f"{self._root}/versions/{run}/{name}"
+        path = f"{self._root}/versions/{version}/{name}"
         df.withColumns({c: split[c] for c in by}).write.partitionBy(*by).parquet(path)
         # the folders that came to be: a scan without columns
         layout = StructType([f for f in _LIST.fields if f.name in by])
@@ -121,7 +126,9 @@ class Snapshots:
         return folders
 
     def publish(self, folders: Mapping[tuple[str, str, int], str], run: int) -> None:
-        """Make a run visible. The list's single commit is the switch."""
+        """Make a run visible. The list's single commit is the switch; a second
+        run that started from the same version fails here.
+        """
         rows = [(*part, path) for part, path in sorted(folders.items())]
         (
             self._spark.createDataFrame(rows, _LIST)
@@ -134,7 +141,8 @@ class Snapshots:
         run, folders = self.published()
         for name, df in tables.items():
             self.parts_of(name, df)
-        steps = [partial(self.write, df, name, run + 1) for name, df in tables.items()]
+        version = self.new_version(run + 1)
+        steps = [partial(self.write, df, name, version) for name, df in tables.items()]
         for written in side_by_side(self._spark, *steps):
             folders.update(written)
         self.publish(folders, run + 1)
