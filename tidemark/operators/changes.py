@@ -69,9 +69,12 @@ def changed_ids(
     candidates = touched_ids(key, cut, own, assoc, ("upd_dt",)).select(key)
     if stage is not None:
         candidates = stage(candidates, f"candidates_{key}")
-    in_region = has_parent(region.select(key), candidates, [key]).distinct()
-    in_assoc = has_parent(assoc.select(key), candidates, [key]).distinct()
-    return in_region.join(in_assoc, key)
+    in_region = has_parent(region.select(key), candidates, [key])
+    in_assoc = has_parent(assoc.select(key), candidates, [key])
+    if stage is not None:
+        # before the same key is made distinct, so that Spark may split a hot id here
+        in_assoc = stage(in_assoc, f"linked_{key}")
+    return in_region.distinct().join(in_assoc.distinct(), key)
 
 
 def changed_pairs(

@@ -110,7 +110,9 @@ def lyric_types(src: Tables, run: Run, ids: DataFrame) -> DataFrame:
         .select(KEY, "local_cd", F.lit(True).alias("timed"))
         .unionAll(src["normal_lyrics"].select(KEY, "local_cd", F.lit(False).alias("timed")))
     )
-    per_row = has_parent(found, ids, [KEY]).groupBy(KEY, "local_cd").agg(F.max("timed").alias("timed"))
+    # staged before it is grouped by the same key, so that Spark may split a hot track here
+    found = run.stage(has_parent(found, ids, [KEY]), "lyrics")
+    per_row = found.groupBy(KEY, "local_cd").agg(F.max("timed").alias("timed"))
     return run.stage(per_row, "lyric_types")
 
 

@@ -57,7 +57,10 @@ def sync_mv(src: Tables, tgt: Tables, run: Run, ids: DataFrame | None = None) ->
         rows = has_parent(base, ids, [KEY])
         status = status_of("db_sts")
         updated = "upd_dt"
-    rows = rows.join(first_track_of_mv(has_parent(links, ids, [KEY])), KEY)
+    # staged before they are ranked by the same key, so that Spark may split a video
+    # with very many links in this join and cut its ranks per task afterwards
+    links = run.stage(has_parent(links, ids, [KEY]), "mv_links")
+    rows = rows.join(first_track_of_mv(links), KEY)
     # staged, the few rows are broadcast to the tracks and not the other way round
     rows = run.stage(rows, "mv_rows").join(tgt["track"].select("track_id", "artist_id"), "track_id")
     renamed = {"upd_dt": F.col(updated), "status": status, "highrate_yn": F.col("high_yn")}
