@@ -1,0 +1,234 @@
+"""Nulls, empty and long texts, ties, repeated rows, empty tables, clashing column names."""
+
+from __future__ import annotations
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from tests.llm import brute
+from tests.llm.test_against_brute import same
+from tidemark.llm import decontaminate, html_text, mixing, pii, quality, simhash, suffix_dedup, tokens, url_filter, vectors
+from tidemark.llm.queries import tokenizer_file
+
+RNG = random.Random(5)
+WORDS = ["alpha", "Beta", "gamma-ray", "delta", "épée", "ZETA", "eta", "42", "日本", "kappa"]
+LONG = " ".join(RNG.choice(WORDS) for _ in range(30_000))
+PASSAGE = " ".join(f"w{i}" for i in range(60))
+TEXTS = [
+    (1, "one two three four five six seven"), (2, ""), (3, None), (4, LONG), (5, PASSAGE), (5, PASSAGE), (6, f"x {PASSAGE} y"),
+    (None, PASSAGE), (None, None), (7, "   \n "), (8, "a@b.co +1 (555) 123-4567 10.0.0.1 4111 1111 1111 1111"), (9, "ONE two Three four five six seven"),
+    (10, "z" * 5000), (11, "\x00 \t nul"), (12, "one"), (13, "<|endoftext|> it's  two   spaces\n\n"), (4, LONG + " tail"),
+]
+CLASHING = ["h", "k", "key", "row", "id", "hash", "rows", "copies", "fp", "root", "size", "n", "w", "_id", "win", "s", "of", "place"]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    rows = [(i, t, ["en", None, "de"][n % 3], ["b", "a", None][n % 3], n) for n, (i, t) in enumerate(TEXTS)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    return df.select("*", *[F.lit(1).alias(c) for c in CLASHING]).repartition(3)
+
+
+@pytest.fixture(scope="module")
+def none(docs):
+    return docs.where("false")
+
+
+def bench(spark):
+    rows = [(1, PASSAGE), (1, PASSAGE), (2, "seven"), (3, ""), (4, None), (None, "delta eta"), (5, "two three four")]
+    return spark.createDataFrame(rows, "item_id long, text string").withColumn("words", F.lit(3))
+
+
+def test_decontamination(spark, docs, none):
+    items = [tuple(r) for r in bench(spark).select("item_id", "text").collect()]
+    columns = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
+    wanted = brute.contamination(TEXTS, items)
+    same(decontaminate.decontaminate(docs, bench(spark)).select(*columns).collect(), wanted)
+    assert decontaminate.decontaminate(none, bench(spark)).count() == 0
+    empty = decontaminate.decontaminate(docs, bench(spark).where("false")).select(*columns)
+    same(empty.collect(), brute.contamination(TEXTS, []))
+    left = decontaminate.without_contaminated(docs, bench(spark))
+    assert left.columns == docs.columns
+    same(left.select("doc_id", "text").collect(), [t for t, w in zip(TEXTS, wanted) if not w[-1]])
+
+
+def test_a_benchmark_in_blocks(spark, docs, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BLOCK_ROWS", 7)
+    items = [tuple(r) for r in bench(spark).select("item_id", "text").collect()]
+    found = decontaminate.decontaminate(docs, bench(spark)).drop("text_hash")
+    same(found.collect(), brute.contamination(TEXTS, items))
+
+
+def test_urls(spark):
+    urls = [None, "", "no scheme", "http://", "https://A.Example.COM/en/x?y#z", "ftp://example.com/en", "x://www.example.com/en/a://b",
+            "http://net/es/", "http://a.net/fr/1", "http://xnet/fr/1", "http://net/es", "http://" + "a." * 500 + "com/" + "p" * 5000]
+    rows = [(i, u) for i, u in enumerate(urls)] + [(0, None), (4, urls[4]), (None, urls[4])]
+    pages = spark.createDataFrame(rows, "page_id long, url string").select("*", *[F.lit(1).alias(c) for c in ("html", "path", "host", "hs")])
+    rules = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"),
+             ("block", "net", "/fr/"), ("allow", "net", "/fr/"), ("block", None, "/"), ("allow", "a.net", "")]
+    listed = spark.createDataFrame(rules, "verdict string, host string, path string")
+    found = url_filter.judge(pages, listed).drop("url")
+    same(found.collect(), [(p, *brute.judged(u, rules)) for p, u in rows])
+    same(url_filter.judge(pages, listed.where("false")).drop("url").collect(), [(p, *brute.judged(u, [])) for p, u in rows])
+    assert url_filter.judge(pages.where("false"), listed).count() == 0
+
+
+def test_simhash(docs, none):
+    wanted = brute.simhash_components(TEXTS)
+    same(simhash.near_duplicates(docs).collect(), wanted)
+    assert simhash.near_duplicates(none).count() == 0
+    left = simhash.representatives(docs)
+    assert left.columns == docs.columns
+    low = {w[2] for w in wanted if w[2] is not None}
+    found = [r.doc_id for r in left.collect()]
+    assert {i for i in found if i is not None} == low and len(found) == len(low)
+
+
+def test_hot_simhash_buckets(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "BUCKET", 20)
+    base = RNG.getrandbits(64)
+    prints = {base}
+    for _ in range(300):
+        flip = 0
+        for b in RNG.sample(range(64), RNG.randint(1, 8)):
+            flip |= 1 << b
+        prints.add(base ^ flip)
+    prints = sorted(prints)
+    from tidemark.llm.common import Scratch, components
+
+    fps = spark.createDataFrame([(simhash._signed(p),) for p in prints], "fp long")
+    scratch = Scratch(spark, "test")
+    found = {r.node: r.root for r in components(simhash.links(fps, scratch), scratch).collect()}
+    roots = brute.rooted(len(prints), lambda i, j: (prints[i] ^ prints[j]).bit_count() <= 3)
+    groups: dict = {}
+    for p, r in zip(prints, roots):
+        groups.setdefault(r, []).append(simhash._signed(p))
+    wanted = {p: min(g) for g in groups.values() if len(g) > 1 for p in g if p != min(g)}
+    assert {n: r for n, r in found.items() if n != r} == wanted
+
+
+def test_masks_cover_every_pair_within_the_radius():
+    from itertools import combinations
+
+    cover = simhash.masks(list(range(64)))
+    for bits in combinations(range(64), 3):
+        flip = sum(1 << b for b in bits)
+        assert any(not m & flip for m in cover)
+
+
+def test_suffixes(docs, none):
+    columns = ["doc_id", "n_bytes", "n_removed", "n_spans"]
+    found = suffix_dedup.without_repeats(docs).select(*columns, F.sha2("kept", 256))
+    same(found.collect(), brute.unrepeated(TEXTS))
+    assert suffix_dedup.without_repeats(none).count() == 0
+
+
+def test_pieces_of_long_texts(docs, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "_PIECE", 1000)
+    texts = [(t or "").encode() for _, t in TEXTS]
+    seen = [0] * len(texts)
+    for number, _, first, n, _ in suffix_dedup.stretches(texts):
+        for i, a, k in zip(number, first, n):
+            seen[i] += int(k)
+            assert a + k + 199 <= len(texts[i])
+    assert seen == [max(0, len(t) - 199) for t in texts]
+
+
+def test_pii(docs, none):
+    same(pii.find_pii(docs).drop("spans").collect(), brute.pii(TEXTS))
+    assert pii.find_pii(none).count() == 0
+
+
+def test_vectors(spark):
+    unit = [[RNG.gauss(0, 1) for _ in range(8)] for _ in range(30)]
+    near = [[x + RNG.gauss(0, 0.12) for x in unit[i % 6]] for i in range(60)]
+    rows = list(enumerate(unit + near + near[:9])) + [(500, None), (501, []), (502, [0.0] * 8), (503, [1.0, None] + [0.0] * 6)]
+    rows += [(504, [float("nan")] * 8), (505, [float("inf")] * 8), (506, [1.0, 2.0]), (507, [2.0, 4.0]), (None, near[0]), (3, unit[3])]
+    rows += [(508, [1e200 * x for x in unit[4]]), (509, [1e-200 * x for x in unit[4]])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    df = df.select("*", *[F.lit(1).alias(c) for c in ("label", "cls", "vec", "n", "good")])
+    wanted = brute.cosine_links([(i, v and [x / 1e200 if i == 508 else x * 1e200 if i == 509 else x for x in v]) for i, v in rows])
+    same(vectors.near_vectors(df).collect(), wanted)
+    assert vectors.near_vectors(df.where("false")).count() == 0
+    saved = vectors.CELL, vectors.CHUNK
+    try:
+        vectors.CELL, vectors.CHUNK = 10, 8  # several cells, each of several chunks
+        same(vectors.near_vectors(df).collect(), wanted)
+    finally:
+        vectors.CELL, vectors.CHUNK = saved
+
+
+def test_tokens(docs, none):
+    library = Tokenizer.from_file(tokenizer_file())
+    wanted = brute.token_rows(TEXTS, lambda t: library.encode(t, add_special_tokens=False).ids)
+    same(tokens.token_output(docs, tokenizer_file()).collect(), wanted)
+    assert tokens.token_output(none, tokenizer_file()).count() == 0
+
+
+def test_encoder_equals_library():
+    library = Tokenizer.from_file(tokenizer_file())
+    encode = tokens.Encoder(tokenizer_file())
+    letters = "ab é日\n  \t.,'!1\u00a0\u3000<|s"
+    texts = ["".join(RNG.choice(letters) for _ in range(RNG.randint(0, 40))) for _ in range(3000)]
+    texts += ["a b\nc d", "a b\n", "\na", " a", "don't we'll", "x<|endoftext|>y"]
+    found = encode(texts)
+    for text, data in zip(texts, found):
+        ids = [int.from_bytes(data[i : i + 2], "little") for i in range(0, len(data), 2)]
+        assert ids == library.encode(text, add_special_tokens=False).ids, text
+
+
+def test_mixing(docs, none):
+    rows = mixing.mix(docs).collect()
+    assert len(rows) == len(TEXTS)
+    sizes, taken = {}, {}
+    for r in rows:
+        sizes[r.source] = sizes.get(r.source, 0) + r["size"]
+        taken[r.source] = taken.get(r.source, 0) + r.taken
+        assert r.taken == r.copies * r["size"] <= 3 * r["size"]
+    goals = brute.targets(sizes)
+    assert all(r.target == pytest.approx(goals[r.source]) for r in rows)
+    out = mixing.mixed(docs)
+    assert out.columns == docs.columns
+    again = out.groupBy("source").agg(F.sum(F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)))).collect()
+    assert {s: n for s, n in again if n} == {s: n for s, n in taken.items() if n}
+    assert mixing.mix(none).count() == 0 and mixing.mixed(none).count() == 0
+
+
+def test_quality(spark, docs, none):
+    labels = spark.createDataFrame([(1, 1, 0), (1, 1, None), (5, 1, 0), (6, 0, 0), (None, 1, 0), (8, 1, 1), (99, 1, 0)], "doc_id long, quality int, toxic int")
+    rows = quality.classify(docs, labels).collect()
+    assert len(rows) == len(TEXTS)
+    assert all(r.keep and r.perplexity is None for r in rows if r.perplexity is None)
+    assert quality.kept(docs, labels).columns == docs.columns
+    assert quality.classify(none, labels).count() == 0
+    assert all(r.keep for r in quality.classify(docs, labels.where("false")).collect())
+
+
+def test_html(spark):
+    pages = [(1, "u", "<article><h1>T &amp; U</h1><p>a  b</p></article>"), (None, None, None), (2, "u", ""), (2, "u", ""),
+             (3, "v", "<article>" + "<p>x y</p>" * 20000), (4, "v", "<a" * 50000), (5, "v", "<!--" * 9999), (6, "v", "\"'<>" * 999)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").withColumn("text", F.lit(1))
+    rows = html_text.extract(df).collect()
+    assert [r.text for r in rows if r.page_id == 1] == ["T & U\na b"]
+    assert [r.n_chars for r in rows if r.page_id == 2] == [0, 0]
+    assert [r.text for r in rows if r.page_id == 3] == ["\n".join(["x y"] * 20000)]
+    assert len(rows) == len(pages)
+    assert html_text.extract(df.where("false")).count() == 0
+
+
+ARTICLE = "<h1>The old mill</h1><p>It was <b>closed</b> in the\n war &mdash; and <a href='/x'>never opened</a> again.</p><p>So.</p>"
+FRAMES = [
+    "<html><head><title>x</title><style>p{}</style></head><body><nav><a href=/>Home</a></nav><article>%s</article><footer>(c)</footer></body></html>",
+    "<body><header><p>Site</p></header><main>%s</main><aside><p>Other stories of the week to read next</p></aside></body>",
+    "<div class='cookie-banner'>We use cookies here for this and that purpose.</div><div id='content'>%s</div><div id='comments'><p>Nice one!</p></div>",
+    "<ul class='menu'><li>One<li>Two</ul><article>%s<form><p>Subscribe</p><input></form></article><div class='ad'>Buy</div>",
+]
+
+
+@pytest.mark.parametrize("frame", FRAMES)
+def test_html_of_unseen_pages(frame):
+    wanted = "The old mill\nIt was closed in the war — and never opened again.\nSo."
+    assert html_text.main_text(frame % ARTICLE, html_text.train()) == wanted

@@ -53,6 +53,21 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
+def packed(docs: DataFrame, *more: Column) -> DataFrame:
+    """Rows as ``row``, out of the way of other names, with what identifies a document: ``id``, ``hash``."""
+    return docs.select(
+        F.struct("*").alias("row"),
+        F.col("doc_id").alias("id"),
+        F.xxhash64(F.col("text").cast("string")).alias("hash"),
+        *more,
+    )
+
+
+def same_document(left: str = "doc_id", right: str = "text_hash") -> Column:
+    """A packed row's document is the one named by two columns; null ids are alike."""
+    return F.col("id").eqNullSafe(F.col(left)) & F.col("hash").eqNullSafe(F.col(right))
+
+
 def stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Links of one block as (id, smallest id of its group in the block), smallest left out."""
     ids, ends = np.unique(np.concatenate([a, b]), return_inverse=True)

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tidemark.llm.common import Scratch, ascii_lower
+from tidemark.llm.common import Scratch, ascii_lower, packed, same_document
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 13
@@ -172,7 +172,5 @@ def without_contaminated(docs: DataFrame, benchmark: DataFrame, scratch: Scratch
     """``docs`` less its contaminated rows, columns as they are."""
     scratch = scratch or Scratch(docs.sparkSession, "decontaminate")
     judged = decontaminate(docs, benchmark, scratch=scratch)
-    bad = scratch(judged.where("contaminated").select(*[F.col(c).alias(f"_{c}") for c in _KEY]).distinct(), "bad")
-    same = F.col("doc_id").eqNullSafe(F.col("_doc_id"))
-    same &= F.xxhash64(F.col("text").cast("string")).eqNullSafe(F.col("_text_hash"))
-    return docs.join(bad, same, "left_anti")
+    bad = scratch(judged.where("contaminated").select(*_KEY).distinct(), "bad")
+    return packed(docs).join(bad, same_document(), "left_anti").select("row.*")

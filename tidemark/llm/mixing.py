@@ -9,8 +9,8 @@ one source and size weigh alike, so all steps run on the counts per (source, siz
 
 Rates become copies on those counts: walking a source's sizes from the largest down,
 whole copies follow the running sum of rates, so words miss the target by less than
-one document; then the smallest documents that fit make up the rest. The documents of
-one (source, size) take its copies evenly, in the order of a hash.
+one document; then copies of the size that fits best make up the rest, a few times.
+The documents of one (source, size) take its copies evenly, in the order of a hash.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tidemark.llm.common import SPACE_WORD, Scratch
+from tidemark.llm.common import SPACE_WORD, Scratch, packed, same_document
 
 WEIGHTS = (5, 2, 1)
 MOST = 3
@@ -118,16 +118,16 @@ def _copies(cells: DataFrame, scratch: Scratch, most: int) -> DataFrame:
     rows = cells.withColumn("run", run)
     rows = rows.withColumn("k", F.col("run") - F.coalesce(F.lag("run").over(W.partitionBy("s").orderBy(F.desc("size"))), F.lit(0)))
     rows = scratch(rows.drop("run").withColumn("k", F.greatest(F.lit(0), F.least("k", most * F.col("n"))).cast("long")), "rounded")
-    for _ in range(3):  # what is still missing falls to the size of a small document
+    for _ in range(3):  # the one size whose copies make up best for what a source still misses
         miss = rows.groupBy("s").agg((F.max("target") - F.sum(F.col("k") * F.col("size"))).alias("miss"))
-        rows = rows.join(miss, "s")
-        room = F.when(F.col("miss") > 0, most * F.col("n") - F.col("k")).otherwise(F.col("k"))
-        room = F.when(F.col("size") > 0, room).otherwise(0)
-        up = W.partitionBy("s").orderBy("size").rowsBetween(W.unboundedPreceding, -1)
-        before = F.coalesce(F.sum(room * F.col("size")).over(up), F.lit(0))
-        fit = F.least(room, F.floor((F.abs("miss") - before) / F.greatest("size", F.lit(1)) + F.lit(0.5)))
-        change = F.greatest(F.lit(0), fit) * F.signum("miss").cast("long")
-        rows = scratch(rows.withColumn("k", (F.col("k") + change).cast("long")).drop("miss"), "refined")
+        change = F.round(F.col("miss") / F.col("size"))
+        change = F.greatest(-F.col("k"), F.least(most * F.col("n") - F.col("k"), change)).cast("long")
+        tried = rows.join(miss, "s").withColumn("change", F.when(F.col("size") > 0, change).otherwise(F.lit(0)))
+        tried = tried.withColumn("left", F.abs(F.col("miss") - F.col("change") * F.col("size")))
+        best = F.min(F.struct("left", "size")).over(W.partitionBy("s"))
+        here = best["size"] == F.col("size")
+        rows = tried.withColumn("k", F.col("k") + F.when(here, F.col("change")).otherwise(F.lit(0)))
+        rows = scratch(rows.drop("miss", "change", "left"), "refined")
     return rows
 
 
@@ -185,16 +185,16 @@ def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, scratch: Scratch
     """The mix itself: ``docs`` with every row as often as it is taken, columns as they are."""
     scratch = scratch or Scratch(docs.sparkSession, "mixing")
     taken = mix(docs, weights, scratch=scratch)
-    # rows of one doc_id and text are the same document: their copies are dealt as one sum
-    times = taken.groupBy("doc_id", "text_hash", F.col("source").alias("_source")).agg(
-        F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows")
+    # rows alike in doc_id, text and source are one document: their copies are dealt as one sum
+    times = taken.groupBy("doc_id", "text_hash", F.col("source").alias("of")).agg(
+        F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("rows")
     )
-    times = scratch(times.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "_source", "_copies", "_rows"), "copies")
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.xxhash64(F.col("text").cast("string")).eqNullSafe(F.col("_hash"))
-    same &= F.col("source").cast("string").eqNullSafe(F.col("_source"))
-    joined = docs.join(times, same)
-    inner = W.partitionBy("_id", "_hash", "_source").orderBy(F.lit(0))
-    once = joined.where("_rows = 1").withColumn("_n", F.col("_copies"))
-    many = joined.where("_rows > 1").withColumn("_rank", F.row_number().over(inner) - 1)
-    many = many.withColumn("_n", F.floor(F.col("_copies") / F.col("_rows")) + (F.col("_rank") < F.pmod("_copies", "_rows")).cast("long"))
-    return once.unionByName(many.drop("_rank")).where("_n > 0").withColumn("_i", F.explode(F.sequence(F.lit(1).cast("long"), "_n"))).select(*docs.columns)
+    times = scratch(times, "copies")
+    rows = packed(docs, F.col("source").cast("string").alias("source"))
+    rows = rows.join(times, same_document() & F.col("source").eqNullSafe(F.col("of")))
+    once = rows.where("rows = 1").select("row", "copies")
+    alike = W.partitionBy("id", "hash", "source").orderBy(F.lit(0))
+    more = rows.where("rows > 1").withColumn("place", F.row_number().over(alike) - 1)
+    share = F.floor(F.col("copies") / F.col("rows")) + (F.col("place") < F.pmod("copies", "rows")).cast("long")
+    dealt = once.union(more.select("row", share.alias("copies"))).where("copies > 0")
+    return dealt.select("row", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select("row.*")

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Scratch, components, stars
+from tidemark.llm.common import Scratch, components, packed, same_document, stars
 
 RADIUS = 3
 SHINGLE = 3
@@ -57,16 +57,19 @@ def simhash(data: bytes | None, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """Columns ``doc_id``, ``fp`` (the 64 bits as a signed long), one row per row of docs."""
+    """Columns ``doc_id``, ``text_hash``, ``fp`` (the 64 bits as a signed long), one row per row of docs."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            texts = part.column(1).cast(pa.binary())
+            texts = part.column(2).cast(pa.binary())
             found = np.fromiter((simhash(t.as_py(), shingle) for t in texts), np.uint64, len(texts))
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found.view(np.int64))], ["doc_id", "fp"])
+            columns = [part.column(0), part.column(1), pa.array(found.view(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "fp"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(run, f"doc_id {kind}, fp long")
+    text = F.col("text").cast("string")
+    rows = docs.select("doc_id", F.xxhash64(text).alias("text_hash"), text.alias("text"))
+    return rows.mapInArrow(run, f"doc_id {kind}, text_hash long, fp long")
 
 
 def _near(fps: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
@@ -146,7 +149,21 @@ def links(fps: DataFrame, scratch: Scratch, radius: int = RADIUS) -> DataFrame:
     return found.union(_bucketed(split, radius))
 
 
-def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, scratch: Scratch | None = None) -> DataFrame:
+def _judged(docs: DataFrame, radius: int, shingle: int, scratch: Scratch) -> DataFrame:
+    """doc_id, text_hash, fp, root (the smallest linked fingerprint) and component_id of every row."""
+    rows = scratch(fingerprints(docs, shingle), "fingerprints")
+    classes = scratch(rows.groupBy("fp").agg(F.min("doc_id").alias("low")), "classes")
+    roots = components(links(classes.select("fp"), scratch, radius), scratch)
+    rooted = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
+    rooted = scratch(rooted.select("fp", "low", F.coalesce("root", "fp").alias("root")), "rooted")
+    lows = scratch(rooted.groupBy("root").agg(F.min("low").alias("component_id")), "lows")
+    named = scratch(rooted.join(lows, "root").select("fp", "root", "component_id"), "named")
+    return rows.join(named, "fp")
+
+
+def near_duplicates(
+    docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, scratch: Scratch | None = None
+) -> DataFrame:
     """One row per row of ``docs``: doc_id, fingerprint (hex), component_id.
 
     Fingerprints at ``radius`` or fewer differing bits link; component_id is the
@@ -156,12 +173,24 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGL
     Copies meet as one fingerprint before any bucket is formed.
     """
     scratch = scratch or Scratch(docs.sparkSession, "simhash")
-    rows = scratch(fingerprints(docs, shingle), "fingerprints")
-    classes = scratch(rows.groupBy("fp").agg(F.min("doc_id").alias("low")), "classes")
-    roots = components(links(classes.select("fp"), scratch, radius), scratch)
-    rooted = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
-    rooted = scratch(rooted.select("fp", "low", F.coalesce("root", "fp").alias("root")), "rooted")
-    lows = scratch(rooted.groupBy("root").agg(F.min("low").alias("component_id")), "lows")
-    named = scratch(rooted.join(lows, "root").select("fp", "component_id"), "named")
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
-    return rows.join(named, "fp").select("doc_id", hexed, "component_id")
+    return _judged(docs, radius, shingle, scratch).select("doc_id", hexed, "component_id")
+
+
+def representatives(
+    docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, scratch: Scratch | None = None
+) -> DataFrame:
+    """``docs`` less all but one row of each component, columns as they are.
+
+    The row of the smallest doc_id stays, null last; of rows with that doc_id, the one
+    with the smallest text hash; of rows alike in both, any one.
+    """
+    scratch = scratch or Scratch(docs.sparkSession, "simhash")
+    judged = scratch(_judged(docs, radius, shingle, scratch), "judged")
+    keys = judged.groupBy("root", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("rows"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "text_hash", "rows")).alias("first")
+    kept = scratch(keys.groupBy("root").agg(first).select("first.doc_id", "first.text_hash", "first.rows"), "kept")
+    rows = packed(docs).join(kept, same_document())
+    # few rows are alike in both; only they are dealt once more
+    again = rows.where("rows > 1").dropDuplicates(["id", "hash"])
+    return rows.where("rows = 1").unionByName(again).select("row.*")
