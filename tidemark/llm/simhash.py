@@ -72,13 +72,18 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     return rows.mapInArrow(run, f"doc_id {kind}, text_hash long, fp long")
 
 
+def _distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    # unsigned: of a negative number, the bits of its absolute value would be counted
+    return np.bitwise_count((a ^ b).view(np.uint64))
+
+
 def _near(fps: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     """Groups among the fingerprints of one bucket, compared in blocks."""
     a, b = [], []
     step = max(1, (1 << 22) // len(fps))
     for at in range(0, len(fps), step):
         rows = fps[at : at + step]
-        i, j = np.nonzero(np.bitwise_count(rows[:, None] ^ fps[None, at:]) <= radius)
+        i, j = np.nonzero(_distance(rows[:, None], fps[None, at:]) <= radius)
         low = i < j
         x, y = stars(rows[i[low]], fps[at:][j[low]])
         a.append(x)
@@ -106,7 +111,7 @@ def _links(radius: int):
             starts = np.concatenate([[0], cuts[:-1]])
             sizes = cuts - starts
             pairs = starts[sizes == 2]
-            pairs = pairs[np.bitwise_count(fps[pairs] ^ fps[pairs + 1]) <= radius] if len(pairs) else pairs
+            pairs = pairs[_distance(fps[pairs], fps[pairs + 1]) <= radius] if len(pairs) else pairs
             a, b = [fps[pairs]], [fps[pairs + 1]]
             for s, n in zip(starts[sizes > 2], sizes[sizes > 2]):
                 x, y = _near(fps[s : s + n], radius)
