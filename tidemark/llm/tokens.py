@@ -19,7 +19,6 @@ runs again leaves the same files.
 from __future__ import annotations
 
 import posixpath
-import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -37,13 +36,23 @@ from tidemark.llm.common import Scratch, batches
 END_ID = 0
 CACHED = 1_000_000  # pieces a worker remembers (about 200 MB); forgotten all at once beyond it
 _BATCH = 256  # documents encoded together
-# A text that is words and line ends, each after one space or one line end, falls
-# into independent pieces at them: byte-level BPE starts a token before a space that
-# precedes a word, and keeps a lone line end apart. Any other text is encoded whole.
-_IRREGULAR = re.compile(r"[^\S \n]|[ \n][ \n]|^\s|\s\Z|<\|")
 _MARK = "\n"
 
 
+def _pieces(text: str) -> list[str] | None:
+    """Words of a text, those behind a line end with it, if each stands behind one space or line end.
+
+    Such a text falls into independent pieces: byte-level BPE starts a token before a
+    space that precedes a word, and keeps a lone line end apart. None for any other
+    text, and for one that may name a special token.
+    """
+    if not text or text[0].isspace() or text[-1].isspace() or any(x in text for x in ("  ", " \n", "\n ", "\n\n", "<|")):
+        return None
+    found = (_MARK + text).replace("\n", " \n").split(" ")[1:]
+    # no piece is empty, so any other white space inside one would make more words than pieces
+    return found if len(found) == len(text.split()) else None
+
+
 class Encoder:
     """Ids of texts by the tokenizers library, remembering the pieces seen before."""
 
@@ -54,8 +63,11 @@ class Encoder:
         size = self._library.get_vocab_size(with_added_tokens=True)
         self.width = 2 if size <= 1 << 16 else 4
         self._kind = f"<u{self.width}"
-        self._pieces: dict[str, bytes] = {}
+        self._known: dict[str, bytes] = {}
         self._mark = self._ids(_MARK)
+        self._starts = np.zeros(size, bool)
+        for token, number in self._library.get_vocab(with_added_tokens=False).items():
+            self._starts[number] = token[0] in "\u0120\u010a"  # how byte-level files write space and line end
         # the shortcut holds for byte-level files without a prefix space or a normalizer
         probe = "ab cd\nef, 12"
         cut = [self._ids(x) for x in ("ab", " cd", "\n", "ef", ",", " 12")]
@@ -65,28 +77,26 @@ class Encoder:
         return np.array(self._library.encode(text, add_special_tokens=False).ids, self._kind).tobytes()
 
     def _learn(self, pieces: list[str]) -> None:
-        """Encodes unknown pieces as one text and cuts its ids at the pieces' ends."""
+        """Encodes unknown pieces as one text and cuts its ids where pieces start.
+
+        A piece starts with its only space or line end, so with the one token of it
+        whose bytes do.
+        """
         for some in batches(pieces, 4096):
-            whole = "".join(x if x[0] == _MARK else " " + x for x in some)
-            found = self._library.encode(whole, add_special_tokens=False)
-            ends = np.cumsum([len(x) + (x[0] != _MARK) for x in some])
-            starts = np.array([s for s, _ in found.offsets])
-            cuts = np.searchsorted(starts, ends)
-            data = np.array(found.ids, self._kind).tobytes()
-            at = 0
-            for piece, end in zip(some, (cuts * self.width).tolist()):
-                self._pieces[piece] = data[at:end]
-                at = end
+            whole = "".join([x if x[0] == _MARK else " " + x for x in some])
+            ids = np.array(self._library.encode_batch_fast([whole], add_special_tokens=False)[0].ids, self._kind)
+            cuts = np.flatnonzero(self._starts[ids])
+            assert len(cuts) == len(some), "a piece holds no space or line end of its own"
+            places = (np.append(cuts, len(ids)) * self.width).tolist()
+            data = ids.tobytes()
+            self._known.update(zip(some, [data[a:b] for a, b in zip(places, places[1:])]))
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        cut = [
-            None if not self._cuttable or not x or _IRREGULAR.search(x) else (_MARK + x).replace("\n", " \n").split(" ")[1:]
-            for x in texts
-        ]
-        if len(self._pieces) > CACHED:
-            self._pieces.clear()
-        known = self._pieces
-        new = dict.fromkeys(p for pieces in cut if pieces for p in pieces if p not in known)
+        cut = [_pieces(x) if self._cuttable else None for x in texts]
+        if len(self._known) > CACHED:
+            self._known.clear()
+        known = self._known
+        new = set().union(*filter(None, cut)).difference(known)
         if new:
             self._learn(list(new))
         return [
