@@ -397,14 +397,15 @@ def rights_steps(r: Rules) -> list[tuple[str, str, object]]:
     return [("track_local", "rights", rights), ("album_local", "album_status", album_status)]
 
 
-def digest(names: Names) -> str:
-    """Row count and row checksum of every target."""
+WIDTH = max(len(schema.names) for schema in TARGETS.values())
+
+
+def all_rows(names: Names) -> str:
+    """Every row of every target: its columns as text, in the schema's order."""
     parts = []
     for table, schema in TARGETS.items():
-        text = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '~')" for c in schema.names)
-        parts.append(
-            f"""SELECT '{table}' AS target, count(*) AS n_rows,
-                CAST(sum(CAST(('0x' || substr(md5(concat_ws('|', {text})), 1, 8)) AS BIGINT)) AS BIGINT) AS checksum
-                FROM {_n(names, table)}"""
-        )
+        columns = [f"CAST({c} AS VARCHAR)" for c in schema.names]
+        columns += ["CAST(NULL AS VARCHAR)"] * (WIDTH - len(columns))
+        listed = ", ".join(f"{c} AS c{i:02d}" for i, c in enumerate(columns))
+        parts.append(f"SELECT '{table}' AS target, {listed} FROM {_n(names, table)}")
     return " UNION ALL ".join(parts)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,7 +39,7 @@ from tidemark.plans.logins import ingest_logins, is_mobile, parse_client, valid_
 from tidemark.plans.runner import sync_catalog, sync_rights
 from tidemark.schemas import INDEX_DDL, LOGIN_LOG, TARGETS
 from tidemark.sources.catalog import load_sources
-from tidemark.sources.sinks import append_rows, ensure_table, is_empty, truncate_reload
+from tidemark.sources.sinks import append_rows, ensure_table, fill_columns, is_empty, truncate_reload
 from tidemark.sources.snapshots import Snapshots
 from tidemark.sources.staging import Staging, shared_folder
 from tidemark.streaming.logins import ingest_logins_stream, read_login_stream
@@ -596,23 +596,25 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 
 Step = Callable[[Tables, Tables, Run], DataFrame]
 BOTH = ("vnm", "jpn")
-ALL = (*BOTH, "generic")
+ALL = (*BOTH, "generic", "generic_jpn")
+# Names without a region, given when only one was registered.
+PLAIN = ("genre", "style", "blind_deleted_mv")
 REGIONS = {"vnm": VNM, "jpn": JPN, "generic": generic_region(), "generic_jpn": generic_region("JPN")}
 
 STEPS: list[tuple[str, Step, Callable[[Rules, dict[str, str]], str], tuple[str, ...]]] = [
-    ("genre", genres.sync_genre, oracle.genre, ("vnm",)),
-    ("style", genres.sync_style, oracle.style, ("vnm",)),
+    ("genre", genres.sync_genre, oracle.genre, BOTH),
+    ("style", genres.sync_style, oracle.style, BOTH),
     ("artist", artists.sync_artist, oracle.artist, ALL),
     ("artist_local", artists.sync_artist_local, oracle.artist_local, ALL),
     ("artist_style", artists.sync_artist_style, oracle.artist_style, ALL),
-    ("album", albums.sync_album, oracle.album, (*ALL, "generic_jpn")),
+    ("album", albums.sync_album, oracle.album, ALL),
     ("album_local", albums.sync_album_local, oracle.album_local, ALL),
     ("track", tracks.sync_track, oracle.track, ALL),
     ("track_local", tracks.sync_track_local, oracle.track_local, ALL),
     ("lyrics_type", tracks.sync_lyrics_type, oracle.lyrics_type, ALL),
     ("album_style", albums.sync_album_style, oracle.album_style, ALL),
     ("track_style", albums.sync_track_style, oracle.track_style, ALL),
-    ("blind_deleted_mv", videos.blind_deleted_mv, oracle.blind_mv, ("vnm",)),
+    ("blind_deleted_mv", videos.blind_deleted_mv, oracle.blind_mv, BOTH),
     ("mv", videos.sync_mv, oracle.mv, ALL),
     ("mv_local", videos.sync_mv_local, oracle.mv_local, ALL),
     ("album_status", albums.album_status_by_rights, oracle.album_status, BOTH),
@@ -629,7 +631,7 @@ def _run_step(spark: SparkSession, sf: str, step: Step, region: Region) -> DataF
 
 for _name, _step, _sql, _labels in STEPS:
     for _label in _labels:
-        _key = f"sync_{_name}_{_label}" if _labels != ("vnm",) else f"sync_{_name}"
+        _key = f"sync_{_name}" if _name in PLAIN and _label == "vnm" else f"sync_{_name}_{_label}"
         QUERIES[_key] = partial(_run_step, step=_step, region=REGIONS[_label])
         ORACLES[_key] = with_standins(_sql(RULES[_label], {}))
 
@@ -637,39 +639,63 @@ for _name, _step, _sql, _labels in STEPS:
 # --- whole jobs -----------------------------------------------------------------------
 
 
-def _digest(tables: dict[str, DataFrame]) -> DataFrame:
-    """Row count and row checksum of every target."""
+def _all_rows(tables: dict[str, DataFrame]) -> DataFrame:
+    """Every row of every target, its columns as text."""
 
     def one(name: str) -> DataFrame:
-        text = [F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in TARGETS[name].names]
-        head = F.conv(F.substring(F.md5(F.concat_ws("|", *text)), 1, 8), 16, 10).cast("bigint")
-        return tables[name].agg(
-            F.lit(name).alias("target"),
-            F.count(F.lit(1)).alias("n_rows"),
-            F.sum(head).alias("checksum"),
-        )
+        columns = [F.col(c).cast("string") for c in TARGETS[name].names]
+        columns += [F.lit(None).cast("string")] * (oracle.WIDTH - len(columns))
+        return tables[name].select(F.lit(name).alias("target"), *[c.alias(f"c{i:02d}") for i, c in enumerate(columns)])
 
     return reduce(DataFrame.unionAll, [one(name) for name in TARGETS])
 
 
-def _run_job(spark: SparkSession, sf: str, job: Callable, region: Region) -> DataFrame:
-    store = Snapshots(spark, _new_folder(spark), ids_per_part=1_000_000)
-    store.seed(targets(spark, sf))
-    job(spark, sources(spark, sf), store, region, AS_OF)
+def _run_job(spark: SparkSession, sf: str, job: Callable, region: Region, ids_per_part: Sequence[int]) -> DataFrame:
+    """A seeded store after one run for each setting it is opened with."""
+    root = _new_folder(spark)
+    Snapshots(spark, root, ids_per_part[0]).seed(targets(spark, sf))
+    for ids in ids_per_part:
+        job(spark, sources(spark, sf), Snapshots(spark, root, ids), region, AS_OF)
+    store = Snapshots(spark, root)
     _, folders = store.published()
-    return _digest(store.read(folders))
+    return _all_rows(store.read(folders))
 
 
-def _register_job(name: str, job: Callable, label: str, steps: Callable) -> None:
-    ctes, names = oracle.chain(RULES[label], steps(RULES[label]))
-    QUERIES[name] = partial(_run_job, job=job, region=REGIONS[label])
-    ORACLES[name] = with_standins(oracle.digest(names), ctes)
+def _register_job(name: str, job: Callable, label: str, steps: Callable, ids_per_part: Sequence[int] = (1_000_000,)) -> None:
+    ctes, names = oracle.chain(RULES[label], steps(RULES[label]) * len(ids_per_part))
+    QUERIES[name] = partial(_run_job, job=job, region=REGIONS[label], ids_per_part=ids_per_part)
+    ORACLES[name] = with_standins(oracle.all_rows(names), ctes)
 
 
-for _label in (*ALL, "generic_jpn"):
+for _label in ALL:
     _register_job(f"catalog_{_label}", sync_catalog, _label, oracle.catalog_steps)
 for _label in BOTH:
     _register_job(f"rights_{_label}", sync_rights, _label, oracle.rights_steps)
+_register_job("store_reopened", sync_catalog, "generic", oracle.catalog_steps, (1_000, 7))
+
+_SCATTERED = "CAST(('0x' || substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 15)) AS BIGINT)"
+
+
+@_register(
+    "store_scattered_ids",
+    f"""SELECT {_SCATTERED} AS mv_id,
+               CASE WHEN o_orderkey % 10 = 0 THEN 'new' ELSE o_orderstatus END AS mv_title
+        FROM orders WHERE o_orderkey % 10 = 0 OR o_orderkey % 4 < 3""",
+)
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """Hashed ids: most are there before a change that brings a tenth of all."""
+    orders = given(spark, sf, "orders")
+    scattered = F.conv(F.substring(F.md5(F.col("o_orderkey").cast("string")), 1, 15), 16, 10).cast("long")
+    rows = orders.select(F.col("o_orderkey").alias("key"), scattered.alias("mv_id"), F.col("o_orderstatus").alias("mv_title"))
+    store = Snapshots(spark, _new_folder(spark))
+    store.seed({"mv": fill_columns(rows.where("key % 4 < 3").drop("key"), TARGETS["mv"])})
+    run, folders = store.published()
+    fresh = Staging(spark)(rows.where("key % 10 = 0").select("mv_id", F.lit("new").alias("mv_title")), "fresh")
+    before = store.read_table("mv", folders, store.parts_of("mv", fresh))
+    after = upsert(before, fresh, ["mv_id"], same_named("mv_title"), same_named("mv_title"))
+    folders.update(store.write(after, "mv", store.new_version(run + 1)))
+    store.publish(folders, run + 1)
+    return store.read_table("mv", store.published()[1]).select("mv_id", "mv_title")
 
 
 # --- sources and sinks ----------------------------------------------------------------

@@ -20,6 +20,7 @@ def spark():
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "6g")
         .config("spark.sql.maxMetadataStringLength", "100000")  # whole paths in plan tests
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tidemark-checkpoint-"))
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="tidemark-warehouse-"))
         .getOrCreate()
     )

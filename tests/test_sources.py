@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,8 +13,8 @@ from tidemark import JPN, VNM, generic_region, sync_catalog, sync_rights
 from tidemark.config import Region
 from tidemark.plans.ddl_text import index_ddl_extract, reload_index_ddl
 from tidemark.schemas import DDL_TEXT, INDEX_DDL, LOGIN_LOG, SOURCES, TARGETS
-from tidemark.sources import snapshots
 from tidemark.sources.catalog import jdbc_options, load_sources
+from tidemark.sources.files import Files
 from tidemark.sources.sinks import append_rows, ensure_table, fill_columns, is_empty, truncate_reload
 from tidemark.sources.snapshots import Snapshots
 from tidemark.sources.staging import Staging, shared_folder
@@ -166,14 +168,123 @@ def test_seed_refuses_rows_without_a_region(spark):
         store.seed({"mv_local": fill_columns(df, TARGETS["mv_local"])})
 
 
-def test_scattered_ids_are_refused(spark, monkeypatch):
-    monkeypatch.setattr(snapshots, "MAX_PARTS", 3)
+def mvs(spark, ids, title="old"):
+    df = spark.createDataFrame([(i, title) for i in ids], "mv_id long, mv_title string")
+    return fill_columns(df, TARGETS["mv"])
+
+
+def test_scattered_ids_stay_in_few_parts(spark):
     store = Snapshots(spark, folder(spark), ids_per_part=10)
-    ids = fill_columns(spark.range(40).withColumnRenamed("id", "mv_id"), TARGETS["mv"])
-    with pytest.raises(ValueError, match="raise ids_per_part"):
-        store.seed({"mv": ids})
-    store.seed({"mv": ids.where("mv_id < 30")})
-    assert store.published()[0] == 1
+    ids = [None, -1, -(2**63), 2**63 - 1, *range(40), *[i * 7919 * 10**13 for i in range(1, 500)]]
+    store.seed({"mv": mvs(spark, ids)})
+    _, folders = store.published()
+    numbers = {number for _, _, number in folders}
+    assert {-1, 0, 1, 2, 3} < numbers and len(numbers) <= 1 + 4 + store.layout.buckets
+    got = store.read_table("mv", folders).select("mv_id")
+    assert sorted(rows(got), key=repr) == sorted([(i,) for i in ids], key=repr)
+    # a changed id leads to the part that holds it
+    for i in (None, -1, 12, 7919 * 10**13):
+        parts = store.parts_of("mv", mvs(spark, [i]))
+        held = store.read_table("mv", folders, parts).where(F.col("mv_id").eqNullSafe(F.lit(i)))
+        assert held.count() == 1
+
+
+def test_a_store_keeps_its_layout(spark):
+    root = folder(spark)
+    store = Snapshots(spark, root, ids_per_part=1_000_000)
+    store.seed({"mv": mvs(spark, [5_000_000])})
+    again = Snapshots(spark, root)
+    assert again.layout == store.layout
+    parts = again.parts_of("mv", mvs(spark, [5_000_000]))
+    assert again.read_table("mv", again.published()[1], parts).count() == 1
+
+
+@pytest.mark.parametrize("code", ["A:B", "a/b", "x=y", "50%", "a b", "[x]*?"])
+def test_region_codes_that_folder_names_escape(spark, code):
+    store = Snapshots(spark, folder(spark))
+    df = spark.createDataFrame([(1, code), (2, "VNM")], "mv_id long, local_cd string")
+    store.seed({"mv_local": fill_columns(df, TARGETS["mv_local"])})
+    run, folders = store.published()
+    assert {c for _, c, _ in folders} == {code, "VNM"}
+    got = store.read_table("mv_local", folders).select("mv_id", "local_cd")
+    assert rows(got) == sorted([(1, code), (2, "VNM")], key=repr)
+
+
+def test_leftovers_of_failed_publishers_are_in_nobodys_way(spark):
+    root = folder(spark)
+    Path(root, "published/run=1").mkdir(parents=True)
+    Path(root, "published/.run-0000000001.json.x").write_text('{"half":')
+    store = Snapshots(spark, root)
+    assert store.published() == (0, {})
+    store.seed({"mv": mvs(spark, [1])})
+    Path(root, "published/.run-0000000002.json.x").write_text("")
+    store.seed({"mv": mvs(spark, [2])})
+    run, folders = store.published()
+    assert run == 2 and rows(store.read_table("mv", folders).select("mv_id")) == [(2,)]
+
+
+def test_of_rival_publishers_one_wins(spark):
+    root = folder(spark)
+    Snapshots(spark, root).seed({"mv": mvs(spark, [1])})
+    stores = [Snapshots(spark, root) for _ in range(8)]
+    lists = [{**s.published()[1], ("mv", "", 100 + i): f"{root}/rival{i}"} for i, s in enumerate(stores)]
+
+    def publish(i):
+        try:
+            stores[i].publish(lists[i], 2)
+        except FileExistsError:
+            return False
+        return True
+
+    with ThreadPoolExecutor(8) as pool:
+        won = list(pool.map(publish, range(8)))
+    assert won.count(True) == 1
+    assert Snapshots(spark, root).published() == (2, lists[won.index(True)])
+
+
+def test_opening_a_store_starts_no_job(spark):
+    store = Snapshots(spark, folder(spark))
+    store.seed({"mv": mvs(spark, [1])})
+    scheduler = spark._jsc.sc().dagScheduler()
+    before = scheduler.numTotalJobs()
+    Snapshots(spark, store._root).published()
+    assert scheduler.numTotalJobs() == before
+
+
+def test_remove_unused_keeps_what_a_kept_run_names(spark):
+    root = folder(spark)
+    store = Snapshots(spark, root, ids_per_part=10)
+    store.seed({"mv": mvs(spark, [1, 11]), "track_style": fill_columns(spark.range(0).withColumnRenamed("id", "track_id"), TARGETS["track_style"])})
+    for n in (2, 3, 4):
+        run, folders = store.published()
+        folders.update(store.write(mvs(spark, [1], f"v{n}"), "mv", store.new_version(run + 1)))
+        store.publish(folders, run + 1)
+    aborted = store.write(mvs(spark, [5]), "mv", store.new_version(5))
+    store.remove_unused(keep_runs=2)
+    assert sorted(store._runs()) == [3, 4]
+    for path in store._runs().values():
+        _, folders = store._list(path)
+        assert store.read_table("mv", folders).count() == 2
+    # of the first run only the part that later ones still name is left
+    left = {str(p) for p in Path(root, "versions").glob("*/mv/part_no=*")}
+    named = {p for path in store._runs().values() for p in store._list(path)[1].values()}
+    assert {p.split("versions")[1] for p in left} == {p.split("versions")[1] for p in named}
+    assert not set(aborted.values()) & left
+    with pytest.raises(ValueError, match="stays"):
+        store.remove_unused(keep_runs=0)
+
+
+@pytest.mark.parametrize("fails", [False, True])
+def test_a_run_leaves_no_staged_tables(spark, fails):
+    src, _, store = seeded(spark)
+    before = set(Files(spark).names(shared_folder(spark)))
+    if fails:
+        src = src | {"ted_mv": src["ted_mv"].withColumn("mv_id", F.raise_error(F.lit("broken")).cast("long"))}
+        with pytest.raises(Exception, match="broken"):
+            sync_catalog(spark, src, store, VNM, tiny.AS_OF, offset_days=-5000)
+    else:
+        sync_catalog(spark, src, store, VNM, tiny.AS_OF, offset_days=-5000)
+    assert set(Files(spark).names(shared_folder(spark))) == before
 
 
 def test_first_run_into_an_empty_store(spark):
@@ -217,7 +328,7 @@ def test_two_runs_from_one_version_do_not_both_publish(spark):
     _, _, store = seeded(spark)
     run, folders = store.published()
     store.publish(folders, run + 1)
-    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+    with pytest.raises(FileExistsError):
         store.publish(folders, run + 1)
 
 

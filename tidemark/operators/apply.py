@@ -3,20 +3,20 @@
 Each function takes the target and returns its next version as a lazy frame;
 ``sources.snapshots`` writes it. Target rows stream through without a shuffle
 whenever Spark can broadcast the other side, which it decides on the exact file
-size when that side was staged (``sources.staging``). Beyond its threshold the
-same plans run as sort-merge joins.
+size when that side was staged (``sources.staging``), as it is here. Beyond its
+threshold the same plans run as sort-merge joins that Spark can split at a hot key;
+target rows without a key pass by them.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import as_column
-from tidemark.operators.joins import distinct_keys, raise_if, with_keys
+from tidemark.operators.joins import Stage, distinct_keys, raise_if, staged, with_keys, without_keys
 
 _SRC = "src"
 _COUNT = "__n"
@@ -38,12 +38,28 @@ def _checked(target: DataFrame, values: Mapping[str, Column | str]) -> dict[str,
     return {name: as_column(value) for name, value in values.items()}
 
 
+def _one_row_per_key(rows: DataFrame, keys: list[str], label: str, stage: Stage | None) -> DataFrame:
+    """Keys, the only row of a key as a struct, and how many rows it has; staged.
+
+    Rows are counted by hash and joined as they are, so none is sorted to pick one. A
+    key with several rows, which no caller lets through, has no struct.
+    """
+    row = F.struct(*[F.col(c) for c in rows.columns]).alias(_SRC)
+    keyed = with_keys(rows, keys)
+    counts = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias(_COUNT))
+    several = staged(counts.where(F.col(_COUNT) > 1), f"several_{label}", stage)
+    once = keyed.join(several.select(*keys), keys, "left_anti").select(*keys, row, F.lit(1).cast("long").alias(_COUNT))
+    none = F.lit(None).cast(once.schema[_SRC].dataType).alias(_SRC)
+    return staged(once.unionByName(several.select(*keys, none, _COUNT)), f"rows_{label}", stage)
+
+
 def upsert(
     target: DataFrame,
     source: DataFrame,
     keys: Sequence[str],
     on_match: Mapping[str, Column | str],
     on_insert: Mapping[str, Column | str],
+    stage: Stage | None = None,
 ) -> DataFrame:
     """Update the target rows that match a source row, insert the other source rows.
 
@@ -57,14 +73,10 @@ def upsert(
     on_insert = {k: F.col(f"{_SRC}.{k}") for k in keys} | _checked(target, on_insert)
     source_row = F.struct(*[F.col(c) for c in source.columns])
 
-    # One row per key, folded on the map side: copies of one key cannot pile up.
-    per_key = (
-        with_keys(source, keys)
-        .groupBy(*keys)
-        .agg(F.first(source_row).alias(_SRC), F.count(F.lit(1)).alias(_COUNT))
-    )
+    per_key = _one_row_per_key(source, keys, "_".join(keys), stage)
     updated = (
-        target.join(per_key, keys, "left")
+        with_keys(target, keys)
+        .join(per_key, keys, "left")
         .where(raise_if(F.col(_COUNT) > 1, f"upsert on {keys}: several source rows match one row"))
         .select(
             *_next_version(
@@ -79,14 +91,13 @@ def upsert(
 
     # The keys already present, found by streaming the target's key columns past
     # the source keys: never larger than the source.
-    present = target.select(*keys).join(distinct_keys(source, keys), keys, "left_semi")
-    keyless = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
+    present = target.select(*keys).join(per_key.select(*keys), keys, "left_semi")
     fresh = with_keys(source, keys).join(present, keys, "left_anti")
     nothing = {f.name: F.lit(None) for f in target.schema.fields}
     inserted = (
         fresh.select(*source.columns)
         # rows with a NULL key match nothing; kept out of the join, they cannot fill one task
-        .unionAll(source.where(keyless))
+        .unionAll(without_keys(source, keys))
         .select(source_row.alias(_SRC))
         .select(
             *[
@@ -95,7 +106,7 @@ def upsert(
             ]
         )
     )
-    return updated.unionAll(inserted)
+    return updated.unionAll(without_keys(target, keys)).unionAll(inserted)
 
 
 def update_if(
@@ -105,21 +116,22 @@ def update_if(
     set: Mapping[str, Column],
     guard: Column | None = None,
     exists: bool = True,
+    stage: Stage | None = None,
 ) -> DataFrame:
     """Set columns on the target rows that have (or lack) a match in ``other``."""
+    on = list(on)
     values = _checked(target, set)
-    flagged = target.join(
-        distinct_keys(other, on).withColumn(_HIT, F.lit(True)), list(on), "left"
-    )
-    applies = F.col(_HIT).isNotNull() if exists else F.col(_HIT).isNull()
-    if guard is not None:
-        applies = applies & guard
-    return flagged.select(
-        *_next_version(
-            target,
-            {name: F.when(applies, value).otherwise(F.col(name)) for name, value in values.items()},
-        )
-    )
+    hits = staged(distinct_keys(other, on), "_".join(["hits", *on]), stage)
+
+    def updated(rows: DataFrame, applies: Column) -> DataFrame:
+        if guard is not None:
+            applies = applies & guard
+        changed = {name: F.when(applies, value).otherwise(F.col(name)) for name, value in values.items()}
+        return rows.select(*_next_version(target, changed))
+
+    flagged = with_keys(target, on).join(hits.withColumn(_HIT, F.lit(True)), on, "left")
+    found = updated(flagged, F.col(_HIT).isNotNull() if exists else F.col(_HIT).isNull())
+    return found.unionAll(updated(without_keys(target, on), F.lit(not exists)))
 
 
 def update_from_lookup(
@@ -129,35 +141,30 @@ def update_from_lookup(
     set: Mapping[str, Column | str],
     guard: Column | None = None,
     bad: Column | None = None,
+    stage: Stage | None = None,
 ) -> DataFrame:
     """Set columns from the single matching lookup row; other rows stay.
 
     Values refer to lookup columns as ``src.<name>``. Two lookup rows for one
-    updated row are an error. A lookup that is unique per key already says with
+    updated row are an error. A staged lookup that is unique per key already says with
     ``bad`` which of its rows must not be used, and is then joined as it is.
     """
     keys = list(on)
     values = _checked(target, set)
-    row = F.struct(*[F.col(c) for c in lookup.columns])
-    lookup = with_keys(lookup, keys)
     if bad is None:
-        per_key = lookup.groupBy(*keys).agg(F.first(row).alias(_SRC), F.count(F.lit(1)).alias(_COUNT))
+        per_key = _one_row_per_key(lookup, keys, "_".join(keys), stage)
         bad = F.col(_COUNT) > 1
     else:
-        per_key = lookup.select(*keys, row.alias(_SRC), F.lit(1).alias(_COUNT))
+        row = F.struct(*[F.col(c) for c in lookup.columns])
+        per_key = with_keys(lookup, keys).select(*keys, row.alias(_SRC), F.lit(1).alias(_COUNT))
     applies = F.col(_COUNT).isNotNull()
     if guard is not None:
         applies = applies & guard
+    changed = {name: F.when(applies, value).otherwise(F.col(name)) for name, value in values.items()}
     return (
-        target.join(per_key, keys, "left")
+        with_keys(target, keys)
+        .join(per_key, keys, "left")
         .where(raise_if(applies & bad, f"update on {keys}: several rows match one row"))
-        .select(
-            *_next_version(
-                target,
-                {
-                    name: F.when(applies, value).otherwise(F.col(name))
-                    for name, value in values.items()
-                },
-            )
-        )
+        .select(*_next_version(target, changed))
+        .unionAll(without_keys(target, keys))
     )

@@ -1,4 +1,10 @@
-"""Join shapes of the sync. No side is hinted: see ``sources.staging``."""
+"""Join shapes of the sync. No side is hinted: see ``sources.staging``.
+
+A side that is reduced to one row per key is staged before it is joined. Its size is
+then known, and beyond the broadcast threshold both sides of the join lie directly on
+a shuffle, which is what Spark needs to split a hot key. Rows whose key is NULL match
+nothing; they pass by the join, so that no task gathers them.
+"""
 
 from __future__ import annotations
 
@@ -9,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import as_column
+from tidemark.sources.staging import Staging
 
 Stage = Callable[[DataFrame, str], DataFrame]
 
@@ -35,14 +42,28 @@ def distinct_keys(df: DataFrame, on: Sequence[str]) -> DataFrame:
     return with_keys(df.select(*on), on).distinct()
 
 
-def has_parent(df: DataFrame, parent: DataFrame, on: Sequence[str], unique: bool = True) -> DataFrame:
+def without_keys(df: DataFrame, on: Sequence[str]) -> DataFrame:
+    """The rows that :func:`with_keys` leaves out."""
+    return df.where(reduce(Column.__or__, [F.col(k).isNull() for k in on]))
+
+
+def staged(df: DataFrame, label: str, stage: Stage | None) -> DataFrame:
+    """A reduced side, written by the run's staging or one of its own."""
+    return (stage or Staging(df.sparkSession))(df, label)
+
+
+def has_parent(
+    df: DataFrame, parent: DataFrame, on: Sequence[str], unique: bool = True, stage: Stage | None = None
+) -> DataFrame:
     """Rows with at least one match in ``parent``.
 
     ``unique=False`` reduces the parent's keys first, for parents in which one
     key may own a large share of the rows.
     """
-    keys = parent.select(*on) if unique else distinct_keys(parent, on)
-    return df.join(keys, list(on), "left_semi")
+    if unique:
+        return df.join(parent.select(*on), list(on), "left_semi")
+    keys = staged(distinct_keys(parent, on), "_".join(["parents", *on]), stage)
+    return with_keys(df, on).join(keys, list(on), "left_semi")
 
 
 def known_in(rows: DataFrame, parent: DataFrame, on: Sequence[str], stage: Stage) -> DataFrame:
@@ -53,20 +74,26 @@ def known_in(rows: DataFrame, parent: DataFrame, on: Sequence[str], stage: Stage
     instead of all being shuffled to meet a few rows. What is left of it is staged
     too, so Spark knows its size; if both sides are big, it can split hot keys.
     """
-    present = has_parent(parent.select(*on), rows, on, unique=False)
+    present = parent.select(*on).join(distinct_keys(rows, on), list(on), "left_semi")
     return rows.join(stage(present, "_".join(["known", *on])), list(on), "left_semi")
 
 
-def lacks(df: DataFrame, other: DataFrame, on: Sequence[str], unique: bool = False) -> DataFrame:
-    """Rows without any match in ``other``."""
-    keys = other.select(*on) if unique else distinct_keys(other, on)
-    return df.join(keys, list(on), "left_anti")
+def lacks(
+    df: DataFrame, other: DataFrame, on: Sequence[str], unique: bool = False, stage: Stage | None = None
+) -> DataFrame:
+    """Rows without any match in ``other``, those without a key among them."""
+    keys = other.select(*on) if unique else staged(distinct_keys(other, on), "_".join(["others", *on]), stage)
+    return with_keys(df, on).join(keys, list(on), "left_anti").unionByName(without_keys(df, on))
 
 
-def with_exists_flag(df: DataFrame, other: DataFrame, on: Sequence[str], flag: str) -> DataFrame:
+def with_exists_flag(
+    df: DataFrame, other: DataFrame, on: Sequence[str], flag: str, stage: Stage | None = None
+) -> DataFrame:
     """Add a boolean that tells if ``other`` has a match; every row is kept."""
-    keys = distinct_keys(other, on).withColumn(flag, F.lit(True))
-    return df.join(keys, list(on), "left").withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
+    keys = staged(distinct_keys(other, on), f"flag_{flag.strip('_')}", stage).withColumn(flag, F.lit(True))
+    found = with_keys(df, on).join(keys, list(on), "left")
+    found = found.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
+    return found.unionByName(without_keys(df, on).withColumn(flag, F.lit(False)))
 
 
 def lookup_one(
@@ -82,23 +109,21 @@ def lookup_one(
 
     Fails when a row of ``df`` has several matches. The matches are reduced to a
     count and one value per key before the join, so a duplicated key neither
-    multiplies rows nor fills one task. With ``stage`` they are written first;
-    that lets Spark split the rows of ``df`` if one key owns very many of them.
+    multiplies rows nor fills one task.
     """
     single = (
         with_keys(other, on)
         .groupBy(*on)
         .agg(F.min(value).alias(alias), F.count(F.lit(1)).alias(_COUNT))
     )
-    if stage is not None:
-        single = stage(single, f"lookup_{alias}")
-    found = df.join(single, list(on), "left").where(
+    single = staged(single, f"lookup_{alias}", stage)
+    default = F.lit(default) if default is None or isinstance(default, str) else default
+    found = with_keys(df, on).join(single, list(on), "left").where(
         raise_if(F.col(_COUNT) > 1, f"lookup of {alias}: more than one row for a key")
     )
-    if default is not None:
-        default = F.lit(default) if isinstance(default, str) else default
-        found = found.withColumn(alias, F.coalesce(F.col(alias), default))
-    return found.drop(_COUNT)
+    found = found.withColumn(alias, F.coalesce(F.col(alias), default)).drop(_COUNT)
+    none = default.cast(single.schema[alias].dataType)
+    return found.unionByName(without_keys(df, on).withColumn(alias, none))
 
 
 def first_child(
@@ -122,7 +147,10 @@ def first_child(
     else:
         living = known_in(stage(links, f"links_{key}"), parent, [child], stage)
     chosen = with_keys(living, [key]).groupBy(key).agg(F.min(child).alias(child))
-    return df.join(chosen, key, "left")
+    chosen = staged(chosen, f"first_{child}", stage)
+    none = F.lit(None).cast(chosen.schema[child].dataType)
+    found = with_keys(df, [key]).join(chosen, key, "left")
+    return found.unionByName(without_keys(df, [key]).withColumn(child, none))
 
 
 def top1(df: DataFrame, by: Sequence[str], order: Sequence[Column | str]) -> DataFrame:

@@ -126,7 +126,7 @@ def album_status_by_rights(src: Tables, tgt: Tables, run: Run) -> DataFrame:
     here = F.col("local_cd") == run.code
     has = F.col("__has_right")
     reopened = here & has & (F.col("status") != OK)
-    flagged = with_exists_flag(target, held, [KEY], "__has_right")
+    flagged = with_exists_flag(target, held, [KEY], "__has_right", run.stage)
     return flagged.select(
         *[
             F.when(here & ~has, BLIND).when(reopened, OK).otherwise(F.col(c)).alias(c)

@@ -29,7 +29,7 @@ def sync_artist(src: Tables, tgt: Tables, run: Run) -> DataFrame:
 
     sites = src["tfm_website"].where(F.col("rel_entity_cd") == SITE_KIND)
     sites = has_parent(sites.select(F.col("rel_id").alias(KEY), "site_url"), ids, [KEY])
-    rows = lookup_one(rows, sites, [KEY], "site_url", "homepage_url")
+    rows = lookup_one(rows, sites, [KEY], "site_url", "homepage_url", stage=run.stage)
 
     copied = [c for c in TARGETS["artist"].names if c not in (KEY, "upd_dt", "status")]
     return run.upsert(

@@ -12,8 +12,6 @@ from pyspark.sql import functions as F
 from tidemark.config import Region
 from tidemark.functions.dates import at, cutoff
 from tidemark.operators.apply import upsert
-from tidemark.operators.joins import Stage
-from tidemark.sources.sinks import is_empty
 from tidemark.sources.staging import Staging
 
 Tables = Mapping[str, DataFrame]
@@ -34,7 +32,7 @@ class Run:
     region: Region
     as_of: datetime
     cut: datetime
-    stage: Stage
+    stage: Staging
     narrow: Callable[[DataFrame, str, DataFrame], DataFrame] = whole_table
 
     @classmethod
@@ -70,9 +68,9 @@ class Run:
     ) -> DataFrame:
         """Stage the changed rows, then upsert them; the target itself if there are none."""
         staged = self.stage(source, name)
-        if is_empty(staged):
+        if self.stage.is_empty(staged):
             return target
-        return upsert(self.narrow(target, name, staged), staged, keys, on_match, on_insert)
+        return upsert(self.narrow(target, name, staged), staged, keys, on_match, on_insert, self.stage)
 
 
 def same_named(*columns: str) -> dict[str, str]:

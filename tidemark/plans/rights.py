@@ -12,7 +12,6 @@ from tidemark.functions.status import yes_no
 from tidemark.operators.apply import update_from_lookup
 from tidemark.operators.changes import changed_since
 from tidemark.plans.context import Run, Tables
-from tidemark.sources.sinks import is_empty
 
 KEY = "track_id"
 # Which columns of the region row each kind of right is written to.
@@ -49,7 +48,7 @@ def _sync(src: Tables, tgt: Tables, run: Run, services: Mapping[str, int]) -> Da
         rights_per_track(changed_since(src["ttmp_trackright"], run.cut), services),
         "_".join(["rights", *services]),
     )
-    if is_empty(lookup):
+    if run.stage.is_empty(lookup):
         return tgt["track_local"]
     values: dict[str, Column] = {"upd_dt": run.now}
     for name in services:

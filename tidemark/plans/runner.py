@@ -9,6 +9,9 @@ tables become visible together at the end.
 
 from __future__ import annotations
 
+import threading
+from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,29 +32,41 @@ class _Session:
         self._last, self._folders = store.published()
         self._version = store.new_version(self._last + 1)
         self._changed = False
+        self._lock = threading.Lock()  # steps of a wave put their tables side by side
         self.tables = store.read(self._folders)
 
     def narrow(self, target: DataFrame, name: str, rows: DataFrame) -> DataFrame:
         """The parts of a table that the rows belong to; a target cut down before stays."""
         if target is not self.tables[name]:
             return target
-        return self._store.read_table(name, self._folders, self._store.parts_of(name, rows))
+        return self._store.read_table(name, self._now(), self._store.parts_of(name, rows))
+
+    def narrow_in(self, name: str, rows: DataFrame, codes: list[str]) -> DataFrame:
+        """The parts of a region table that the rows' ids have in any of the regions."""
+        return self._store.read_table(name, self._now(), self._store.parts_of(name, rows, codes))
+
+    def _now(self) -> dict:
+        with self._lock:
+            return dict(self._folders)
 
     def of_region(self, name: str, code: str) -> DataFrame:
         """All parts of one region."""
-        parts = [(c, number) for table, c, number in self._folders if table == name and c == code]
-        return self._store.read_table(name, self._folders, parts)
+        folders = self._now()
+        parts = [(c, number) for table, c, number in folders if table == name and c == code]
+        return self._store.read_table(name, folders, parts)
 
     def regions_of(self, name: str) -> set[str]:
-        return {code for table, code, _ in self._folders if table == name}
+        return {code for table, code, _ in self._now() if table == name}
 
     def put(self, name: str, df: DataFrame, before: DataFrame | None = None) -> None:
         """Write the parts a step has changed, unless it left the target as it was."""
         if df is (self.tables[name] if before is None else before):
             return
-        self._folders.update(self._store.write(df, name, self._version))
-        self.tables[name] = self._store.read_table(name, self._folders)
-        self._changed = True
+        written = self._store.write(df, name, self._version)
+        with self._lock:
+            self._folders.update(written)
+            self.tables[name] = self._store.read_table(name, self._folders)
+            self._changed = True
 
     def publish(self) -> dict[str, DataFrame]:
         if self._changed:
@@ -59,6 +74,19 @@ class _Session:
         return self.tables
 
 
+@contextmanager
+def _started(
+    spark: SparkSession, store: Snapshots, region: Region, as_of: datetime, offset_days: float | None
+) -> Iterator[tuple[_Session, Run]]:
+    """The targets and settings of a run; its staged tables go at its end, failed or not."""
+    to = _Session(store)
+    run = Run.start(spark, region, as_of, offset_days, to.narrow)
+    try:
+        yield to, run
+    finally:
+        run.stage.remove()
+
+
 def sync_catalog(
     spark: SparkSession,
     src: Tables,
@@ -68,9 +96,12 @@ def sync_catalog(
     offset_days: float | None = None,
 ) -> dict[str, DataFrame]:
     """Bring every target up to date with the changes since the cut; returns the new targets."""
-    to = _Session(store)
-    run = Run.start(spark, region, as_of, offset_days, to.narrow)
-    tgt = to.tables
+    with _started(spark, store, region, as_of, offset_days) as (to, run):
+        return _sync_catalog(spark, src, to, run)
+
+
+def _sync_catalog(spark: SparkSession, src: Tables, to: _Session, run: Run) -> dict[str, DataFrame]:
+    tgt, region = to.tables, run.region
 
     def genre_tree() -> None:
         if region.regional:
@@ -139,8 +170,7 @@ def _put_track_local(to: _Session, src: Tables, run: Run, ids: DataFrame) -> Non
     known = to.regions_of("track_local") | {run.region.code}
     sung = types.where(F.col("local_cd").isin(*known)).select("local_cd").distinct().collect()
     codes = sorted({run.region.code, *[r[0] for r in sung]})
-    touched = ids.select(tracks.KEY, F.explode(F.array(*map(F.lit, codes))).alias("local_cd"))
-    before = to.narrow(to.tables["track_local"], "track_local", touched)
+    before = to.narrow_in("track_local", ids, codes)
 
     synced = tracks.sync_track_local(src, to.tables | {"track_local": before}, run, ids)
     if sung:
@@ -157,13 +187,12 @@ def sync_rights(
     offset_days: float | None = None,
 ) -> dict[str, DataFrame]:
     """Carry changed rights to the region's tracks and switch its albums on or off."""
-    to = _Session(store)
-    run = Run.start(spark, region, as_of, offset_days, to.narrow)
-    tgt = to.tables
-    album_local = {"album_local": to.of_region("album_local", region.code)}
-    side_by_side(
-        spark,
-        lambda: to.put("track_local", rights.sync_track_rights(src, tgt, run)),
-        lambda: to.put("album_local", albums.album_status_by_rights(src, album_local, run)),
-    )
-    return to.publish()
+    with _started(spark, store, region, as_of, offset_days) as (to, run):
+        tgt = to.tables
+        album_local = {"album_local": to.of_region("album_local", region.code)}
+        side_by_side(
+            spark,
+            lambda: to.put("track_local", rights.sync_track_rights(src, tgt, run)),
+            lambda: to.put("album_local", albums.album_status_by_rights(src, album_local, run)),
+        )
+        return to.publish()

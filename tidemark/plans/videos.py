@@ -11,7 +11,6 @@ from tidemark.operators.changes import changed_ids, changed_pairs, changed_since
 from tidemark.operators.joins import distinct_keys, has_parent, known_in, top1
 from tidemark.plans.context import Run, Tables, same_named
 from tidemark.schemas import TARGETS
-from tidemark.sources.sinks import is_empty
 
 KEY = "mv_id"
 
@@ -32,10 +31,10 @@ def blind_deleted_mv(src: Tables, tgt: Tables, run: Run) -> DataFrame:
         src["ted_mvtrack"].where(F.col("db_sts") == DELETED), run.cut, ("upd_dt",)
     )
     gone = run.stage(distinct_keys(gone, [KEY, "track_id"]), "deleted_mvtrack")
-    if is_empty(gone):
+    if run.stage.is_empty(gone):
         return tgt["mv"]
     return update_if(
-        tgt["mv"], gone, [KEY, "track_id"], {"status": F.lit(BLIND), "upd_dt": run.now}
+        tgt["mv"], gone, [KEY, "track_id"], {"status": F.lit(BLIND), "upd_dt": run.now}, stage=run.stage
     )
 
 

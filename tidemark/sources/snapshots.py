@@ -4,65 +4,98 @@ Plain parquet tables cannot be updated in place, so a run writes new folders and
 publishes all of them at once with one small list of folders. Readers follow the
 latest list: they see a whole run or nothing of it.
 
-A table is kept in parts, by region code and by range of its id. A run reads and
-rewrites only the parts that hold a changed id; all others keep their folder.
-New and recently edited items have neighbouring ids, so that is a small share of
-a big table.
+A table is kept in parts, by region code and by its id. A run reads and rewrites
+only the parts that hold a changed id; all others keep their folder. New and
+recently edited items have neighbouring ids, so that is a small share of a big
+table. Ids beyond the ranges, and negative ones, fall into hash buckets, which
+bounds the number of parts however the ids are scattered. How ids are dealt is
+decided once per store and kept with its lists.
 """
 
 from __future__ import annotations
 
+import json
+import re
 import uuid
 from collections.abc import Iterable, Mapping
+from dataclasses import asdict, dataclass
 from functools import partial, reduce
+from urllib.parse import unquote
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from tidemark.schemas import PART_KEYS, REGION_TARGETS, TARGETS
+from tidemark.sources.files import Files
 from tidemark.sources.parallel import side_by_side
 
 Part = tuple[str, int]
 Folders = dict[tuple[str, str, int], str]
 
-MAX_PARTS = 10_000
 ALL_REGIONS = ""  # region code of a table without region rows
 _CODE, _NUMBER = "part_cd", "part_no"
-_LIST = StructType(
-    [
-        StructField("target", StringType()),
-        StructField(_CODE, StringType()),
-        StructField(_NUMBER, LongType()),
-        StructField("path", StringType()),
-    ]
-)
+_NO_VALUE = "__HIVE_DEFAULT_PARTITION__"  # folder name that Spark gives to NULL
+_LIST = re.compile(r"run-(\d{10})\.json")
+
+
+@dataclass(frozen=True)
+class Layout:
+    """Part numbers: -1 without an id, then ranges of ids from 0 on, then hash buckets."""
+
+    ids_per_part: int = 10_000_000
+    ranges: int = 4096
+    buckets: int = 256
+
+    def number(self, key: str) -> Column:
+        ident = F.col(key)
+        dense = (ident >= 0) & (ident < self.ids_per_part * self.ranges)
+        ranged = F.expr(f"`{key}` div {self.ids_per_part}")
+        hashed = F.lit(self.ranges) + F.pmod(F.xxhash64(ident), F.lit(self.buckets))
+        return F.when(ident.isNull(), -1).when(dense, ranged).otherwise(hashed)
 
 
 class Snapshots:
-    """The target tables under one root folder. One run at a time may write."""
+    """The target tables under one root folder. Of several runs that start from one
+    version only the first to publish succeeds.
+
+    ``ids_per_part`` counts for a store without any version; an existing store keeps
+    the layout it has.
+    """
 
     def __init__(self, spark: SparkSession, root: str, ids_per_part: int = 10_000_000):
         self._spark = spark
+        self._files = Files(spark)
         self._root = root.rstrip("/")
-        self._ids_per_part = ids_per_part
+        self._new = Layout(ids_per_part)
+        self._known: Layout | None = None
+
+    def _runs(self) -> dict[int, str]:
+        """The lists by run, from their names alone."""
+        found = {n: _LIST.fullmatch(n) for n in self._files.names(f"{self._root}/published")}
+        return {int(m[1]): f"{self._root}/published/{n}" for n, m in found.items() if m}
+
+    def _list(self, path: str) -> tuple[Layout, Folders]:
+        content = json.loads(self._files.read(path))
+        folders = {(t, code, number): p for t, code, number, p in content["parts"]}
+        return Layout(**content["layout"]), folders
 
     def published(self) -> tuple[int, Folders]:
         """Number of the latest run and the folder of every table part.
 
-        One row per part, so small.
+        One entry per part, so small; no older list is read.
         """
-        schema = StructType([*_LIST.fields, StructField("run", LongType())])
-        try:
-            lists = self._spark.read.schema(schema).json(f"{self._root}/published")
-        except AnalysisException as missing:
-            if missing.getCondition() != "PATH_NOT_FOUND":
-                raise
+        runs = self._runs()
+        if not runs:
             return 0, {}
-        latest = lists.agg(F.max("run")).first()[0]
-        rows = lists.where(F.col("run") == latest).collect()
-        return latest, {(r["target"], r[_CODE], r[_NUMBER]): r["path"] for r in rows}
+        latest = max(runs)
+        self._known, folders = self._list(runs[latest])
+        return latest, folders
+
+    @property
+    def layout(self) -> Layout:
+        if self._known is None:
+            self.published()
+        return self._known or self._new
 
     def read(self, folders: Folders) -> dict[str, DataFrame]:
         return {name: self.read_table(name, folders) for name in TARGETS}
@@ -87,21 +120,20 @@ class Snapshots:
 
     def _part_columns(self, name: str) -> dict[str, Column]:
         code = F.col("local_cd") if name in REGION_TARGETS else F.lit(ALL_REGIONS)
-        number = F.lit(0)
-        if name in PART_KEYS:
-            number = F.coalesce(F.expr(f"{PART_KEYS[name]} div {self._ids_per_part}"), F.lit(-1))
+        number = self.layout.number(PART_KEYS[name]) if name in PART_KEYS else F.lit(0)
         return {_CODE: code, _NUMBER: number.cast("long")}
 
-    def parts_of(self, name: str, rows: DataFrame) -> set[Part]:
+    def parts_of(self, name: str, rows: DataFrame, codes: Iterable[str] | None = None) -> set[Part]:
         """The parts that rows with a table's key columns belong to.
 
-        Refuses ids so scattered that their ranges would make too many folders.
+        With ``codes``, the rows have no region and count for each of these. The layout
+        bounds the numbers, so they are few.
         """
-        columns = [c.alias(n) for n, c in self._part_columns(name).items()]
-        found = rows.select(*columns).distinct().limit(MAX_PARTS + 1).collect()
-        if len(found) > MAX_PARTS:
-            raise ValueError(f"{name} would have more than {MAX_PARTS} parts: raise ids_per_part")
-        return {(r[_CODE], r[_NUMBER]) for r in found}
+        columns = [c.alias(n) for n, c in self._part_columns(name).items() if codes is None or n != _CODE]
+        found = rows.select(*columns).distinct().collect()
+        if codes is None:
+            return {(r[_CODE], r[_NUMBER]) for r in found}
+        return {(code, r[_NUMBER]) for r in found for code in codes}
 
     def new_version(self, run: int) -> str:
         """Folder name of one attempt at a run; a failed attempt does not block the next."""
@@ -112,37 +144,58 @@ class Snapshots:
         split = self._part_columns(name)
         by = [_CODE, _NUMBER] if name in REGION_TARGETS else [_NUMBER]
         path = f"{self._root}/versions/{version}/{name}"
-        df.withColumns({c: split[c] for c in by}).write.partitionBy(*by).parquet(path)
-        # the folders that came to be: a scan without columns
-        layout = StructType([f for f in _LIST.fields if f.name in by])
-        written = self._spark.read.schema(StructType([*TARGETS[name].fields, *layout.fields])).parquet(path)
+        rows = df.withColumns({c: split[c] for c in by})
+        # a part's rows meet in a few files, unless it is so big that they are split again
+        rows.hint("rebalance", *by).write.partitionBy(*by).parquet(path)
+        found = [path]
+        for column in by:
+            found = [f"{f}/{n}" for f in found for n in self._files.names(f) if n.startswith(f"{column}=")]
         folders = {}
-        for row in written.select(*by).distinct().collect():
-            code = row[_CODE] if _CODE in by else ALL_REGIONS
-            if code is None:
+        for folder in found:
+            values = dict(step.split("=", 1) for step in folder[len(path) + 1 :].split("/"))
+            code = values.get(_CODE, ALL_REGIONS)
+            if code == _NO_VALUE:
                 raise ValueError(f"{name} has rows without a region")
-            folder = "/".join([path, *[f"{c}={row[c]}" for c in by]])
-            folders[name, code, row[_NUMBER]] = folder
+            folders[name, unquote(code), int(values[_NUMBER])] = folder
         return folders
 
     def publish(self, folders: Mapping[tuple[str, str, int], str], run: int) -> None:
-        """Make a run visible. The list's single commit is the switch; a second
-        run that started from the same version fails here.
-        """
-        rows = [(*part, path) for part, path in sorted(folders.items())]
-        (
-            self._spark.createDataFrame(rows, _LIST)
-            .coalesce(1)
-            .write.json(f"{self._root}/published/run={run}")
-        )
+        """Make a run visible: its list appears whole under the run's number, or not at all
+        if another run took the number."""
+        content = {"layout": asdict(self.layout), "parts": [[*part, path] for part, path in sorted(folders.items())]}
+        if not self._files.create(f"{self._root}/published/run-{run:010d}.json", json.dumps(content)):
+            raise FileExistsError(f"run {run} of {self._root} is published already")
 
     def seed(self, tables: Mapping[str, DataFrame]) -> None:
         """Publish given tables as the next version."""
         run, folders = self.published()
-        for name, df in tables.items():
-            self.parts_of(name, df)
         version = self.new_version(run + 1)
         steps = [partial(self.write, df, name, version) for name, df in tables.items()]
         for written in side_by_side(self._spark, *steps):
             folders.update(written)
         self.publish(folders, run + 1)
+
+    def remove_unused(self, keep_runs: int) -> None:
+        """Forget all but the latest runs, and the folders that none of those uses.
+
+        To be called while no run writes and no reader uses a run that goes.
+        """
+        if keep_runs < 1:
+            raise ValueError("the latest run stays")
+        runs = self._runs()
+        kept = sorted(runs)[-keep_runs:]
+        used = {path for run in kept for path in self._list(runs[run])[1].values()}
+        for run in set(runs) - set(kept):
+            self._files.remove(runs[run])
+        versions = f"{self._root}/versions"
+        for version in self._files.names(versions):
+            for name in self._files.names(f"{versions}/{version}"):
+                self._remove_unused(f"{versions}/{version}/{name}", used)
+
+    def _remove_unused(self, folder: str, used: set[str]) -> None:
+        if not any(path == folder or path.startswith(f"{folder}/") for path in used):
+            self._files.remove(folder)
+        elif folder not in used:
+            for name in self._files.names(folder):
+                if "=" in name:
+                    self._remove_unused(f"{folder}/{name}", used)
