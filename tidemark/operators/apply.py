@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.text import as_column
 from tidemark.operators.joins import Stage, distinct_keys, raise_if, staged, with_keys, without_keys
+from tidemark.sources.staging import Staging
 
 _SRC = "src"
 _COUNT = "__n"
@@ -42,12 +43,16 @@ def _one_row_per_key(rows: DataFrame, keys: list[str], label: str, stage: Stage
     """Keys, the only row of a key as a struct, and how many rows it has; staged.
 
     Rows are counted by hash and joined as they are, so none is sorted to pick one. A
-    key with several rows, which no caller lets through, has no struct.
+    key with several rows, which no caller lets through, has no struct. Rows that are
+    staged already, each with a key of its own, are not written again.
     """
+    stage = stage or Staging(rows.sparkSession)
     row = F.struct(*[F.col(c) for c in rows.columns]).alias(_SRC)
     keyed = with_keys(rows, keys)
     counts = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias(_COUNT))
     several = staged(counts.where(F.col(_COUNT) > 1), f"several_{label}", stage)
+    if isinstance(stage, Staging) and stage.wrote(rows) and stage.is_empty(several):
+        return keyed.select(*keys, row, F.lit(1).cast("long").alias(_COUNT))
     once = keyed.join(several.select(*keys), keys, "left_anti").select(*keys, row, F.lit(1).cast("long").alias(_COUNT))
     none = F.lit(None).cast(once.schema[_SRC].dataType).alias(_SRC)
     return staged(once.unionByName(several.select(*keys, none, _COUNT)), f"rows_{label}", stage)

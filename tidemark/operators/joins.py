@@ -49,7 +49,8 @@ def without_keys(df: DataFrame, on: Sequence[str]) -> DataFrame:
 
 def staged(df: DataFrame, label: str, stage: Stage | None) -> DataFrame:
     """A reduced side, written by the run's staging or one of its own."""
-    return (stage or Staging(df.sparkSession))(df, label)
+    stage = stage or Staging(df.sparkSession)
+    return stage(df, label, reduced=True) if isinstance(stage, Staging) else stage(df, label)
 
 
 def has_parent(

@@ -21,6 +21,7 @@ def sync_genre(src: Tables, tgt: Tables, run: Run) -> DataFrame:
         ["genre_id"],
         on_match=same_named("genre_nm"),
         on_insert=same_named("genre_nm") | {"crt_dt": run.now},
+        stage=run.stage,
     )
 
 
@@ -37,4 +38,5 @@ def sync_style(src: Tables, tgt: Tables, run: Run) -> DataFrame:
         ["style_id"],
         on_match=same_named("style_nm"),
         on_insert=same_named("genre_id", "style_nm") | {"crt_dt": run.now},
+        stage=run.stage,
     )

@@ -49,15 +49,21 @@ class Staging:
         self._numbers = count(1)
         self._rows: dict[int, tuple[DataFrame, int]] = {}
 
-    def __call__(self, df: DataFrame, label: str) -> DataFrame:
+    def __call__(self, df: DataFrame, label: str, reduced: bool = False) -> DataFrame:
+        """The written table. ``reduced`` frames come from a shuffle or another staged
+        table and have few files anyway."""
         path = f"{self._root}/{next(self._numbers):03d}_{label}"
         seen = Observation(f"rows-{uuid.uuid4().hex}")
         # rebalance: a change picked from thousands of scan tasks becomes a few even files
-        df.hint("rebalance").observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(path)
+        rows = df if reduced else df.hint("rebalance")
+        rows.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(path)
         out = self._spark.read.schema(df.schema).parquet(path)
         self._rows[id(out)] = out, seen.get["n"]
         return out
 
+    def wrote(self, df: DataFrame) -> bool:
+        return id(df) in self._rows
+
     def is_empty(self, staged: DataFrame) -> bool:
         """Known from the write; no job."""
         return self._rows[id(staged)][1] == 0
