@@ -155,7 +155,7 @@ def test_vectors(spark):
     assert vectors.near_vectors(df.where("false")).count() == 0
     saved = vectors.CELL, vectors.CHUNK
     try:
-        vectors.CELL, vectors.CHUNK = 10, 8  # several cells, each of several chunks
+        vectors.CELL, vectors.CHUNK = 10, 8 * 64  # several cells, each of several chunks of eight
         same(vectors.near_vectors(df).collect(), wanted)
     finally:
         vectors.CELL, vectors.CHUNK = saved

@@ -24,6 +24,7 @@ _NONE = 255  # more than any common prefix held; depths are below it
 _PAD = 511  # above every symbol
 _PACK = 7  # symbols of nine bits in a key
 _STEP = 16  # symbols compared at once
+_PAIRS = 1 << 15
 
 Tuples = tuple[np.ndarray, np.ndarray]
 
@@ -86,6 +87,9 @@ def _rising(t: np.ndarray) -> np.ndarray:
 
 def common(t: np.ndarray, a: np.ndarray, b: np.ndarray, depth: int) -> np.ndarray:
     """Common prefixes of the suffixes at a and b, up to depth; t is padded beyond its end."""
+    if len(a) > _PAIRS:  # the symbols of so many pairs are held at once
+        cuts = range(0, len(a), _PAIRS)
+        return np.concatenate([common(t, a[i : i + _PAIRS], b[i : i + _PAIRS], depth) for i in cuts])
     out = np.zeros(len(a), np.int64)
     live = np.arange(len(a))
     step = np.arange(_STEP)

@@ -31,7 +31,7 @@ from tidemark.llm.induced import repeated
 
 WINDOW = 200
 RUN = 32
-SHARD = 8 << 20  # bytes of stretches
+SHARD = 4 << 20  # bytes of stretches
 _PIECE = 2 << 20  # bytes hashed at once
 
 
@@ -121,7 +121,7 @@ def _anchored(docs: DataFrame, window: int, run: int) -> DataFrame:
                         seen.add(key)
                         keys.append(key)
                         texts.append(text)
-                if len(seen) > 1 << 20:
+                if len(seen) > 1 << 18:
                     seen.clear()
                 named = pa.array(keys, pa.binary())
                 for number, h, first, n, digest in stretches(texts, window, run):
@@ -167,9 +167,10 @@ def _places(docs: DataFrame, scratch: Scratch, window: int, run: int) -> DataFra
     spark = docs.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = _anchored(docs, window, run).repartition(n, "h")
-    place = F.struct("key", "first")
+    # the groups and the join below read the same columns, so they share one shuffle
+    place, piece = F.struct("key", "first"), F.struct("digest", "n")
     groups = dealt.groupBy("h").agg(
-        F.min(place).alias("p"), F.max(place).alias("q"), F.min("digest").alias("d"), F.max("digest").alias("e")
+        F.min(place).alias("p"), F.max(place).alias("q"), F.min(piece).alias("d"), F.max(piece).alias("e")
     )
     groups = groups.where("p <> q").select("h", (F.col("d") != F.col("e")).alias("mixed"))
     found = scratch(dealt.join(groups, "h"), "found")

@@ -10,8 +10,8 @@ is (d(v, i)^2 - d(v, own)^2) / (2 d(i, own)) <= r. Every pair within r meets in
 cell of the lower number, once, and cells are joined independently.
 
 Vectors that are equal are one class with a count, so copies never multiply. A cell
-beyond ``CHUNK`` classes is dealt into chunks, and pairs of chunks are joined apart;
-a task holds two chunks at most. Inside, cosines are matrix products in double
+beyond ``CHUNK`` bytes is dealt into chunks, and pairs of chunks are joined apart; a
+task holds two chunks at most. Inside, cosines are matrix products in double
 precision; those near the bound are added up again in a fixed order.
 """
 
@@ -20,7 +20,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,9 +29,9 @@ from tidemark.llm.common import Scratch, components, stars
 COSINE = 0.95
 CELL = 8192  # classes a cell should hold of its own
 PIVOTS = 4096  # pivots at most; beyond it cells grow, and are dealt into chunks
-CHUNK = 4096
+CHUNK = 16 << 20  # bytes of vectors in a chunk
 _SLACK = 1e-9  # for what rounding does to distances
-_ROWS = 256  # rows of a product at once
+_CELLS = 1 << 22  # cosines held at once
 
 
 def _matrix(column: pa.Array, width: int) -> np.ndarray:
@@ -76,41 +75,58 @@ def _cells(pivots: np.ndarray, radius: float):
     return run
 
 
-def _join(cosine: float):
-    """Links among two chunks of a cell: counts (cls, links, null) and stars (a, null, b)."""
+def _linked(units: np.ndarray, left: np.ndarray, right: np.ndarray, cosine: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs (place in left, place in right) at the cosine or above, a block of rows at a time."""
+    step = max(1, _CELLS // max(1, len(right)))
+    for at in range(0, len(left), step):
+        i = left[at : at + step]
+        cos = units[i] @ units[right].T
+        x, y = np.nonzero(cos >= cosine - 1e-11)
+        close = np.flatnonzero(cos[x, y] < cosine + 1e-11)
+        if len(close):
+            again = np.array([np.sum(units[i[a]] * units[right[b]]) for a, b in zip(x[close], y[close])])
+            out = np.ones(len(x), bool)
+            out[close] = again >= cosine
+            x, y = x[out], y[out]
+        yield i[x], right[y]
 
-    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        first, second = key[1], key[2]
-        units = _units(np.array(rows["vec"].tolist(), np.float64))
-        cls, n = rows["cls"].to_numpy(), rows["n"].to_numpy()
-        own, chunk = rows["own"].to_numpy(), rows["chunk"].to_numpy()
-        order = np.argsort(cls, kind="stable")
-        units, cls, n, own, chunk = units[order], cls[order], n[order], own[order], chunk[order]
-        links = np.zeros(len(cls), np.int64)
+
+def _join(cosine: float, width: int):
+    """Links among two chunks of a cell: counts (a, links, a) and stars (a, 0, b).
+
+    A pair is the business of a cell that owns one of the two, so vectors that are both
+    replicas are not compared.
+    """
+
+    def run(key: tuple, rows: pa.Table) -> pa.Table:
+        first, second = key[1].as_py(), key[2].as_py()
+        cls, n, own, chunk = (rows.column(c).to_numpy() for c in ("cls", "n", "own", "chunk"))
+        units = _units(_matrix(rows.column("vec").combine_chunks(), width))
+        links = np.zeros(len(cls))
+        one, two = chunk == first, chunk == second
+        mine, theirs = np.flatnonzero(own & one), np.flatnonzero(~own & one)
+        if first == second:
+            jobs = [(mine, mine, False), (mine, theirs, True)]
+        else:
+            jobs = [(mine, np.flatnonzero(two), True), (theirs, np.flatnonzero(own & two), True)]
         a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        left, right = np.flatnonzero(chunk == first), np.flatnonzero(chunk == second)
-        for at in range(0, len(left), _ROWS):
-            i = left[at : at + _ROWS]
-            cos = units[i] @ units[right].T
-            linked = cos >= cosine
-            for x, y in zip(*np.nonzero(np.abs(cos - cosine) < 1e-11)):
-                linked[x, y] = float(np.sum(units[i[x]] * units[right[y]])) >= cosine
-            # a pair is the business of a cell that owns one of the two
-            linked &= own[i][:, None] | own[right][None, :]
-            if first == second:
-                linked &= i[:, None] < right[None, :]
-            links[i] += linked @ n[right]
-            links[right] += n[i] @ linked
-            x, y = np.nonzero(linked)
-            x, y = stars(cls[i[x]], cls[right[y]])
-            a.append(x)
-            b.append(y)
+        for left, right, both in jobs:
+            for i, j in _linked(units, left, right, cosine) if len(left) and len(right) else ():
+                if not both:  # all of them face each other: every pair comes twice, and each with itself
+                    i, j = i[i != j], j[i != j]
+                links += np.bincount(i, n[j], len(cls))
+                if both:
+                    links += np.bincount(j, n[i], len(cls))
+                x, y = stars(cls[i], cls[j])
+                a.append(x)
+                b.append(y)
         x, y = stars(np.concatenate(a), np.concatenate(b))
         some = links > 0
-        return pd.DataFrame(
+        counts = np.rint(links[some]).astype(np.int64)
+        return pa.table(
             {
                 "a": np.concatenate([cls[some], x]),
-                "links": np.concatenate([links[some], np.zeros(len(x), np.int64)]),
+                "links": np.concatenate([counts, np.zeros(len(x), np.int64)]),
                 "b": np.concatenate([cls[some], y]),
             }
         )
@@ -132,7 +148,9 @@ def near_vectors(
     """
     spark = vectors.sparkSession
     scratch = scratch or Scratch(spark, "vectors")
-    rows = vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("vec"))
+    kind = vectors.schema["embedding"].dataType.simpleString()
+    kind = kind if kind == "array<float>" else "array<double>"  # single precision travels as it is
+    rows = vectors.select("vec_id", F.col("embedding").cast(kind).alias("vec"))
     finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))
     good = F.forall("vec", finite) & F.exists("vec", lambda x: x != 0)
     rows = rows.withColumn("good", F.coalesce(good, F.lit(False)))
@@ -146,9 +164,10 @@ def near_vectors(
         # a bounded sample fixed by a hash; any pivots give the same links
         picked = some.orderBy("cls").limit(max(1, min(PIVOTS, count // CELL))).select("vec").collect()
         pivots = _units(np.array([r.vec for r in picked]))
-        placed = some.mapInArrow(_cells(pivots, radius), "cell int, own boolean, cls long, n long, vec array<double>")
-        placed = scratch(placed.withColumn("vec", F.col("vec")), "cells")
-        chunks = placed.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("chunks"))
+        schema = f"cell int, own boolean, cls long, n long, vec {kind}"
+        placed = scratch(some.mapInArrow(_cells(pivots, radius), schema), "cells")
+        each = max(1, CHUNK // (8 * width))
+        chunks = placed.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / each).cast("int").alias("chunks"))
         placed = placed.join(F.broadcast(scratch(chunks, "chunks")), "cell")  # PIVOTS rows at most
         placed = placed.withColumn("chunk", F.pmod(F.xxhash64("cls", F.lit(7)), F.col("chunks")).cast("int"))
         # each chunk meets itself and every other one once
@@ -157,7 +176,7 @@ def near_vectors(
             lambda c: F.struct(F.least(c, F.col("chunk")).alias("first"), F.greatest(c, F.col("chunk")).alias("second")),
         )
         dealt = placed.select("cell", "own", "cls", "n", "vec", "chunk", F.inline(with_all))
-        joined = dealt.groupBy("cell", "first", "second").applyInPandas(_join(cosine), "a long, links long, b long")
+        joined = dealt.groupBy("cell", "first", "second").applyInArrow(_join(cosine, width), "a long, links long, b long")
         found = joined if found is None else found.union(joined)
     empty = spark.createDataFrame([], "a long, links long, b long")
     found = scratch(empty if found is None else found, "found")
