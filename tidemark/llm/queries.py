@@ -161,7 +161,7 @@ WITH RECURSIVE v AS (
 ),
 good AS (
   SELECT vec_id, e FROM v
-  WHERE len(e) > 0 AND len(list_filter(e, x -> x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, x -> x <> 0)) > 0
+  WHERE len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0
 ),
 links AS (
   SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b
