@@ -11,20 +11,28 @@ they span make one stretch. Stretches are dealt by anchor:
    induced sorting (``induced.py``) of a shard's suffixes, with common prefixes carried
    along, marks the windows that occur again.
 
+Stretches of an anchor with more than ``SHARD`` bytes are cut by content first: equal
+windows have their anchor at the same offset, so those of a block of offsets agree in
+the bytes that all windows of the block have around the anchor. Pieces are dealt by a
+digest of these; blocks of groups still too large are narrowed until they are single
+windows, which need no sorting. A piece alone in its group repeats nothing and is left.
+
 Rows with equal texts are one text with a count and stretches with equal bytes travel
 once, so groups of copies stay small everywhere. Shards are sized in bytes from the
-counted stretches; one that an anchor makes larger spills its queues to disk.
+counted stretches and pieces, and no group in them is larger than ``SHARD``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from tidemark.llm.common import Scratch
 from tidemark.llm.induced import repeated
@@ -32,7 +40,9 @@ from tidemark.llm.induced import repeated
 WINDOW = 200
 RUN = 32
 SHARD = 4 << 20  # bytes of stretches
+BLOCKS = (64, 16, 4, 1)  # offsets of the anchor in a block, step by step
 _PIECE = 2 << 20  # bytes hashed at once
+_CUT = "h long, digest long, n long, bytes binary, off long, g binary"
 
 
 def _byte_hashes() -> np.ndarray:
@@ -134,7 +144,7 @@ def _anchored(docs: DataFrame, window: int, run: int) -> DataFrame:
 
 
 def _sorted_out(window: int):
-    """Shards of (h, digest, n, bytes) to the runs of repeated windows of each stretch."""
+    """Shards of (h, digest, n, bytes, off) to the runs of repeated windows of each stretch."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = [part for part in parts if part.num_rows]
@@ -156,12 +166,79 @@ def _sorted_out(window: int):
         low, high = edge[::2], edge[1::2]
         owner = np.searchsorted(starts, low, side="right") - 1
         named = rows.select([0, 1]).take(pa.array(owner)).combine_chunks()
-        columns = [*(named.column(i).combine_chunks() for i in range(2)), pa.array(low - starts[owner]), pa.array(high - starts[owner] - 1)]
+        begin = starts[owner] - rows.column(4).to_numpy()[owner]
+        columns = [*(named.column(i).combine_chunks() for i in range(2)), pa.array(low - begin), pa.array(high - begin - 1)]
         yield pa.RecordBatch.from_arrays(columns, ["h", "digest", "a", "b"])
 
     return run
 
 
+def _cut(window: int, run: int, width: int):
+    """Pieces (h, digest, n, bytes, off, g) to pieces of blocks of ``width`` anchor offsets.
+
+    ``off`` is the piece's first window in its stretch; ``g`` is the digest of a block
+    and of the bytes that its windows have in common. Single windows carry no bytes.
+    """
+
+    def cut(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            if not part.num_rows:
+                continue
+            h, digest, n, data, off = (part.column(i) for i in range(5))
+            data = data.to_pylist()
+            sizes = np.array([len(x) for x in data])
+            starts = np.cumsum(sizes) - sizes
+            found = _run_hashes(np.frombuffer(b"".join(data), np.uint8), run).view(np.int64)
+            owner = np.repeat(np.arange(len(data)), sizes)[: len(found)]
+            hit = np.flatnonzero((found == h.to_numpy()[owner]) & (np.arange(len(found)) - starts[owner] <= window - run))
+            place = np.zeros(len(data), np.int64)
+            place[owner[hit]] = hit - starts[owner[hit]]  # of equals the last, as in a window
+            row, count, piece, first, group = [], [], [], [], []
+            for i, (x, at, windows, begin) in enumerate(zip(data, place.tolist(), n.to_pylist(), off.to_pylist())):
+                a = 0
+                while a < windows:
+                    k = (at - a) // width
+                    last = at - k * width  # the block's last window, first of its common bytes
+                    b = min(windows, last + 1)
+                    row.append(i)
+                    count.append(b - a)
+                    piece.append(x[a : b - 1 + window] if width > 1 else b"")
+                    first.append(begin + a)
+                    group.append(xxhash.xxh3_128_digest(x[last : last - width + 1 + window], seed=k))
+                    a = b
+            take = pa.array(row, pa.int64())
+            columns = [h.take(take), digest.take(take), pa.array(count, pa.int64()), pa.array(piece, pa.binary()),
+                       pa.array(first, pa.int64()), pa.array(group, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["h", "digest", "n", "bytes", "off", "g"])
+
+    return cut
+
+
+def _narrowed(rows: DataFrame, scratch: Scratch, window: int, run: int) -> tuple[list[tuple[DataFrame, int]], DataFrame | None]:
+    """Pieces of hot anchors as frames of groups of at most ``SHARD`` bytes, with their bytes; and marks of single windows."""
+    small: list[tuple[DataFrame, int]] = []
+    for width in BLOCKS:
+        rows = scratch(rows.mapInArrow(_cut(window, run, width), _CUT), f"blocks{width}")
+        groups = rows.groupBy("h", "g").agg(F.count(F.lit(1)).alias("rows"), F.sum(F.col("n") + window).alias("size"))
+        fits = F.col("size") <= SHARD
+        groups, seen = scratch.counted(
+            groups.where("rows > 1").drop("rows"), f"groups{width}",
+            F.sum(F.when(fits, F.col("size"))).alias("fitting"), F.count(F.when(~fits, 1)).alias("large"),
+        )
+        large = F.broadcast(groups.where(~fits).select("h", "g"))  # a row for SHARD bytes at least
+        rest = rows.join(large, ["h", "g"], "left_anti").join(groups.where(fits).select("h", "g"), ["h", "g"])
+        rows = rows.join(large, ["h", "g"], "left_semi").select(rows.columns)
+        if width == 1:
+            one = rows.select("h", "digest", "off").union(rest.select("h", "digest", "off"))
+            order = F.row_number().over(W.partitionBy("h", "digest").orderBy("off"))
+            one = one.withColumn("run", F.col("off") - order)
+            return small, one.groupBy("h", "digest", "run").agg(F.min("off").alias("a"), F.max("off").alias("b")).drop("run")
+        small.append((rest.select(rows.columns), seen["fitting"] or 0))
+        if not seen["large"]:
+            break
+    return small, None
+
+
 def _places(docs: DataFrame, scratch: Scratch, window: int, run: int) -> DataFrame:
     """(key, a, b): runs of first to last start of a repeated window, in texts with equal bytes once."""
     spark = docs.sparkSession
@@ -178,8 +255,12 @@ def _places(docs: DataFrame, scratch: Scratch, window: int, run: int) -> DataFra
     digests = scratch(digests.withColumn("again", F.col("p") != F.col("q")), "digests")
     whole = digests.where("again").select("h", "digest", F.lit(0).cast("long").alias("a"), (F.col("n") - 1).alias("b"))
     mixed = digests.where("mixed")
-    total = mixed.agg(F.sum(F.col("n") + window)).first()[0] or 0
-    shards = max(1, -(-total // SHARD))
+    anchors = mixed.groupBy("h").agg(F.sum(F.col("n") + window).alias("size"))
+    fits = F.col("size") <= SHARD
+    anchors, seen = scratch.counted(
+        anchors, "anchors", F.sum(F.when(fits, F.col("size"))).alias("fitting"), F.count(F.when(~fits, 1)).alias("large")
+    )
+    hot = F.broadcast(anchors.where(~fits).select("h"))  # a row for SHARD bytes at least
     sought = mixed.select(F.col("p.key").alias("key"), F.struct("h", "digest", "n", F.col("p.first").alias("first")).alias("s"))
     sought = scratch(sought.groupBy("key").agg(F.collect_list("s").alias("s")), "sought")
     texts = docs.select("key", "data").dropDuplicates(["key"]).join(sought, "key")
@@ -192,9 +273,18 @@ def _places(docs: DataFrame, scratch: Scratch, window: int, run: int) -> DataFra
             F.substring(F.col("data"), (s["first"] + 1).cast("int"), (s["n"] + window - 1).cast("int")).alias("bytes"),
         ),
     )
-    pieces = texts.select(F.inline(cut)).repartition(int(shards), "h")
+    pieces = texts.select(F.inline(cut)).select("*", F.lit(0).cast("long").alias("off"), F.lit(b"").alias("g"))
+    small, single = [(pieces, seen["fitting"] or 0)], None
+    if seen["large"]:
+        pieces = scratch(pieces, "pieces")
+        more, single = _narrowed(pieces.join(hot, "h", "left_semi").select(pieces.columns), scratch, window, run)
+        small = [(pieces.join(hot, "h", "left_anti").select(pieces.columns), small[0][1]), *more]
+    shards = max(1, -(-sum(size for _, size in small) // SHARD))
+    pieces = reduce(DataFrame.union, [p for p, _ in small]).repartition(int(shards), "h", "g")
+    pieces = pieces.select("h", "digest", "n", "bytes", "off")
     some = scratch(pieces.mapInArrow(_sorted_out(window), "h long, digest long, a long, b long"), "sorted")
-    marks = scratch(whole.union(some), "marks")
+    marks = whole.union(some) if single is None else whole.union(some).union(single)
+    marks = scratch(marks, "marks")
     rows = found.select("h", "digest", "key", "first").join(marks, ["h", "digest"])
     return rows.select("key", (F.col("first") + F.col("a")).alias("a"), (F.col("first") + F.col("b")).alias("b"))
 
