@@ -36,8 +36,8 @@ OUTSIDE_WORDS = frozenset(
 INSIDE_TAGS = frozenset("article main".split())
 INSIDE_WORDS = frozenset("article content entry main post story".split())
 
-_TAG = re.compile(r"</?([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>")
-_LOOSE = re.compile(r"</?([A-Za-z][^\s/>]*)([^>]*)>")
+_NAME = re.compile(r"</?([A-Za-z][^\s/>]*)")
+_NEXT = re.compile(r"=\s*+([\"'])|=\s*+[^\s>\"'][^\s>]*+|>")  # a quoted value opens, an unquoted one, the tag's end
 _NAMED = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _WORDS = re.compile(r"[A-Za-z]+|[^\x00-\x7f]+")
 _CLOSES_P = BLOCK - {"body", "html", "tbody", "td", "tfoot", "th", "thead", "tr", "li", "dd", "dt"}
@@ -62,9 +62,11 @@ def blocks(html: str) -> list[Block]:
     """The text blocks of a page in page order; unclosed and stray tags are borne with."""
     found: list[Block] = []
     stack: list[tuple[str, int, int, int]] = []  # name, outside, inside, silent
+    depths: dict[str, list[int]] = {}  # where in the stack elements of a name are
     pieces: list[str] = []
     linked: list[str] = []
     links = 0
+    dead: set[int] = set()  # quotes that open a value after which no tag ends
 
     def flush() -> None:
         nonlocal pieces, linked
@@ -77,14 +79,36 @@ def blocks(html: str) -> list[Block]:
 
     def close(name: str) -> None:
         nonlocal links
-        depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
-        if depth is None:
+        if not depths.get(name):
             return
+        depth = depths[name][-1]
         if any(x[0] in BLOCK for x in stack[depth:]):
             flush()
         links -= sum(x[0] == "a" for x in stack[depth:])
+        for x in stack[depth:]:
+            depths[x[0]].pop()
         del stack[depth:]
 
+    def tag_end(start: int) -> int:
+        """Behind the sign that ends a tag, which is not in a quoted value; the first one if quotes stay open.
+
+        What follows a quote that opens a value does not depend on the tag, so no quote is tried twice in vain.
+        """
+        at, tried = start, []
+        while m := _NEXT.search(html, at):
+            at = m.end()
+            if m[0] == ">":
+                return at
+            if m[1]:
+                if at in dead:
+                    break
+                tried.append(at)
+                at = html.find(m[1], at) + 1
+                if not at:
+                    break
+        dead.update(tried)
+        return html.find(">", start) + 1
+
     at, size, no_comment_end = 0, len(html), False
     last_end = html.rfind(">")
     while at < size:
@@ -106,14 +130,14 @@ def blocks(html: str) -> list[Block]:
             end = html.find(">", tag)
             at = end + 1 if end >= 0 else size
             continue
-        m = tag < last_end and (_TAG.match(html, tag, tag + 4096) or _LOOSE.match(html, tag))
+        m = tag < last_end and _NAME.match(html, tag)
         if not m:  # a bare sign is text
             if not (stack and stack[-1][3]):
                 pieces.append("<")
             at = tag + 1
             continue
-        at = m.end()
-        name, attributes = m[1].lower(), m[2]
+        at = tag_end(m.end())
+        name, attributes = m[1].lower(), html[m.end() : at - 1]
         if html[tag + 1] == "/":
             close(name)
             continue
@@ -142,9 +166,9 @@ def blocks(html: str) -> list[Block]:
             if end:
                 at = html.find(">", at) + 1 or size
             continue
-        if len(stack) < 4096:
-            stack.append((name, int(outside or own_out), int(inside or own_in), silent))
-            links += name == "a"
+        depths.setdefault(name, []).append(len(stack))
+        stack.append((name, int(outside or own_out), int(inside or own_in), silent))
+        links += name == "a"
     flush()
     return found
 
