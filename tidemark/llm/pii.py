@@ -35,12 +35,12 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _NUMBERS = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_BOX = re.compile(r"[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*")
+_BOX = re.compile(r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)*+")
 _DIAL = re.compile(r"\+?[0-9](?:[().-]?[0-9]){4,18}")
-_USER = re.compile(r"[^\s/?#@:\"'<>]{1,128}(?::[^\s/?#@\"'<>]{0,128})?@[A-Za-z0-9.-]+")
+_USER = re.compile(r"[^\s/?#@:\"'<>]++(?::[^\s/?#@\"'<>]*+)?+@[A-Za-z0-9.-]++")
 _SCHEME = re.compile(r"[A-Za-z][A-Za-z0-9+.-]*\Z")
 _BETWEEN = re.compile(r"(?:[\x20\t]?(?:no|nr|number|id|key|is|code)\b\.?)?[\x20\t]{0,3}[:=#]{0,2}[\x20\t]{0,3}[\"']?", re.I | re.A)
-_VALUE = re.compile(r"[A-Za-z0-9](?:[_/+.-]?[A-Za-z0-9]){4,127}")
+_VALUE = re.compile(r"[A-Za-z0-9](?:[_/+.-]?[A-Za-z0-9]){4,}+")
 _IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}")
 _AKIA = re.compile(r"AKIA[0-9A-Z]{16}(?![0-9A-Za-z])")
 
@@ -113,11 +113,13 @@ def _account(text: str, at: int, end: int) -> Span | None:
     if at and text[at - 1].isalnum() or end < len(text) and text[end].isalpha():
         return None
     value = _BETWEEN.match(text, end).end()
+    if value == end:  # nothing between: no value is looked at, so that none is read twice
+        return None
     if text[at:end].lower() == "iban":
         found = _IBAN.match(text, value)
         return found.span() if found and _mod97(found.group()) else None
     found = _VALUE.match(text, value)
-    if not found or value == end or sum(c.isdigit() for c in found.group()) < 4:
+    if not found or sum(c.isdigit() for c in found.group()) < 4:
         return None
     return found.span()
 
