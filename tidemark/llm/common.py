@@ -36,9 +36,9 @@ class Scratch:
     def path(self, label: str) -> str:
         return f"{self.folder}/{next(self._numbers):03d}_{label}"
 
-    def __call__(self, df: DataFrame, label: str) -> DataFrame:
+    def __call__(self, df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
         path = self.path(label)
-        df.write.parquet(path)
+        df.write.parquet(path, compression=compression)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def counted(self, df: DataFrame, label: str, *more: Column) -> tuple[DataFrame, dict]:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import table
+from tidemark.llm.common import Scratch, table
 from tidemark.llm.decontaminate import decontaminate
 from tidemark.llm.html_text import extract
 from tidemark.llm.mixing import mix
@@ -15,6 +15,7 @@ from tidemark.llm.pii import find_pii
 from tidemark.llm.quality import classify
 from tidemark.llm.simhash import near_duplicates
 from tidemark.llm.suffix_dedup import without_repeats
+from tidemark.llm.token_counts import prefix_counts, totals
 from tidemark.llm.tokens import token_output
 from tidemark.llm.url_filter import judge
 from tidemark.llm.vectors import near_vectors
@@ -37,10 +38,13 @@ def _query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSess
     return run
 
 
-def tokenizer_file() -> str:
+TOKEN_LIMIT = 4096  # fixed value of op12
+
+
+def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 @_query
@@ -100,6 +104,13 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@_query
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = prefix_counts(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
+    stored = Scratch(spark, "prefix_counts")(counts, "slices", "zstd")
+    return totals(stored).withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _WORDS = (
     f"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), "
