@@ -11,6 +11,7 @@ from tidemark.llm.common import Scratch, table
 from tidemark.llm.decontaminate import decontaminate
 from tidemark.llm.html_text import extract
 from tidemark.llm.mixing import mix
+from tidemark.llm.periodic import periodic_runs
 from tidemark.llm.pii import find_pii
 from tidemark.llm.quality import classify
 from tidemark.llm.simhash import near_duplicates
@@ -111,6 +112,11 @@ def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return totals(stored).withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+@_query
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs(table(spark, sf_dir, "documents"), planted=True).drop("runs")
+
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _WORDS = (
     f"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), "
