@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import Scratch, table
 from tidemark.llm.decontaminate import decontaminate
+from tidemark.llm.hard_negatives import hard_negatives
 from tidemark.llm.html_text import extract
 from tidemark.llm.mixing import mix
 from tidemark.llm.periodic import periodic_runs
@@ -105,6 +106,12 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@_query
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.expr("if(vec_id % 7 = 0, (label + 1) % 10, label)")
+    return hard_negatives(table(spark, sf_dir, "embeddings").withColumn("label", label), F.expr("vec_id % 50 = 0"))
+
+
 @_query
 def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = prefix_counts(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
@@ -192,3 +199,31 @@ n AS (SELECT a AS vec_id, count(*) AS n_links FROM links GROUP BY a)
 SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
 FROM low LEFT JOIN n USING (vec_id)
 """
+
+ORACLES["op11_hard_negatives"] = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(CAST(embedding AS DOUBLE[]), lambda x: floor(256 * x)) AS q, row_number() OVER () AS nth
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(CAST(embedding AS DOUBLE[]), lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scores AS (
+  SELECT a.nth, a.vec_id AS anchor_id, v.vec_id, a.label = v.label AS alike,
+         CAST(list_inner_product(a.q, v.q) AS BIGINT) AS score
+  FROM v AS a JOIN v ON a.nth <> v.nth AND len(a.q) = len(v.q) WHERE a.vec_id % 50 = 0
+),
+positives AS (
+  SELECT nth, anchor_id, vec_id AS positive_id, score AS positive_score,
+         row_number() OVER (PARTITION BY nth ORDER BY score DESC, vec_id) AS p
+  FROM scores WHERE alike
+),
+ranked AS (
+  SELECT anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+         row_number() OVER (PARTITION BY nth, p ORDER BY score DESC, vec_id) AS rank
+  FROM positives JOIN scores USING (nth, anchor_id)
+  WHERE p <= 5 AND NOT alike AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM ranked WHERE rank <= 3
+"""
