@@ -43,8 +43,13 @@ class Run:
         as_of: datetime,
         offset_days: float | None = None,
         narrow: Callable[[DataFrame, str, DataFrame], DataFrame] = whole_table,
+        since: datetime | None = None,
     ) -> Run:
-        return cls(region, as_of, cutoff(as_of, offset_days), Staging(spark), narrow)
+        """``since`` is the last run before this one: its day is the cut if it is the earlier one."""
+        cut = cutoff(as_of, offset_days)
+        if since is not None:
+            cut = min(cut, cutoff(since, 0))
+        return cls(region, as_of, cut, Staging(spark), narrow)
 
     @property
     def now(self) -> Column:

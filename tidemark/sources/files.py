@@ -55,6 +55,11 @@ class Files:
         fs.delete(aside, False)
         return done
 
+    def size(self, path: str) -> int:
+        """Bytes of all files under a folder."""
+        fs, where = self._at(path)
+        return fs.getContentSummary(where).getLength()
+
     def remove(self, path: str) -> None:
         fs, where = self._at(path)
         fs.delete(where, True)
