@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Sequence
+from datetime import datetime, timedelta
 from functools import partial, reduce
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,10 +41,11 @@ from tidemark.plans.logins import ingest_logins, is_mobile, parse_client, valid_
 from tidemark.plans.runner import sync_catalog, sync_rights
 from tidemark.schemas import INDEX_DDL, LOGIN_LOG, TARGETS
 from tidemark.sources.catalog import load_sources
-from tidemark.sources.sinks import append_rows, ensure_table, fill_columns, is_empty, truncate_reload
+from tidemark.sources.parallel import side_by_side
+from tidemark.sources.sinks import append_once, append_rows, ensure_batch_table, ensure_table, fill_columns, is_empty, truncate_reload
 from tidemark.sources.snapshots import Snapshots
 from tidemark.sources.staging import Staging, shared_folder
-from tidemark.streaming.logins import ingest_logins_stream, read_login_stream
+from tidemark.streaming.logins import ingest_logins_into, ingest_logins_stream, read_login_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -698,6 +701,75 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return store.read_table("mv", store.published()[1]).select("mv_id", "mv_title")
 
 
+@_register(
+    "store_scattered_changes",
+    f"""SELECT {_SCATTERED} AS mv_id,
+               CASE WHEN o_orderkey % 15 = 0 THEN 'newer' WHEN o_orderkey % 10 = 0 THEN 'new' ELSE o_orderstatus END AS mv_title
+        FROM orders WHERE o_orderkey % 10 = 0 OR o_orderkey % 15 = 0 OR o_orderkey % 4 < 3""",
+)
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """Hashed ids changed twice, beside the base files; some parts are folded in between."""
+    orders = given(spark, sf, "orders")
+    scattered = F.conv(F.substring(F.md5(F.col("o_orderkey").cast("string")), 1, 15), 16, 10).cast("long")
+    rows = orders.select(F.col("o_orderkey").alias("key"), scattered.alias("mv_id"), F.col("o_orderstatus").alias("mv_title"))
+    store, stage = Snapshots(spark, _new_folder(spark)), Staging(spark)
+    store.seed({"mv": fill_columns(rows.where("key % 4 < 3").drop("key"), TARGETS["mv"])})
+    for every, title in ((10, "new"), (15, "newer")):
+        run, version = store.published()
+        fresh = stage(rows.where(F.col("key") % every == 0).select("mv_id", F.lit(title).alias("mv_title")), title)
+        before = store.read_for("mv", version, store.parts_of("mv", fresh), fresh)
+        after = upsert(before, fresh, ["mv_id"], same_named("mv_title"), same_named("mv_title"))
+        written = store.write(after, "mv", store.new_version(run + 1))
+        store.publish_over(run, version, [(written, True)], written)
+        if title == "new":
+            store.fold(ratio=0.9)
+    return store.read_table("mv", store.published()[1]).select("mv_id", "mv_title")
+
+
+def _chained(runs: Sequence[tuple[str, Callable, datetime, datetime]]) -> str:
+    """SQL of all targets after jobs one after another, each with its run time and its cut."""
+    names: dict[str, str] = {}
+    ctes: dict[str, str] = {}
+    for label, steps, as_of, cut in runs:
+        for table, step, build in steps(RULES[label]):
+            body = build(RULES[label], names)
+            body = body.replace(CUT, f"TIMESTAMP '{cut:%Y-%m-%d %H:%M:%S}'").replace(NOW, f"TIMESTAMP '{as_of:%Y-%m-%d %H:%M:%S}'")
+            names[table] = f"step{len(ctes)}_{step}"
+            ctes[names[table]] = body
+    return with_standins(oracle.all_rows(names), ctes)
+
+
+_EARLIER = AS_OF - timedelta(days=200)
+
+
+def _store_missed_day(spark: SparkSession, sf: str) -> DataFrame:
+    """Rights of one region, with no run on the days between two: the second goes back to the first."""
+    store = Snapshots(spark, _new_folder(spark), 1_000_000)
+    store.seed(targets(spark, sf))
+    for as_of in (_EARLIER, AS_OF):
+        sync_rights(spark, sources(spark, sf), store, REGIONS["jpn"], as_of)
+    return _all_rows(store.read(store.published()[1]))
+
+
+def _store_disjoint_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """Rights of two regions at the same time, both from one version of the store."""
+    root = _new_folder(spark)
+    Snapshots(spark, root, 1_000_000).seed(targets(spark, sf))
+    src = sources(spark, sf)
+    runs = [partial(sync_rights, spark, src, Snapshots(spark, root), REGIONS[label], AS_OF) for label in ("vnm", "jpn")]
+    side_by_side(spark, *runs)
+    store = Snapshots(spark, root)
+    return _all_rows(store.read(store.published()[1]))
+
+
+QUERIES["store_missed_day"] = _store_missed_day
+ORACLES["store_missed_day"] = _chained(
+    [("jpn", oracle.rights_steps, _EARLIER, cutoff(_EARLIER)), ("jpn", oracle.rights_steps, AS_OF, cutoff(_EARLIER, 0))]
+)
+QUERIES["store_disjoint_runs"] = _store_disjoint_runs
+ORACLES["store_disjoint_runs"] = _chained([(label, oracle.rights_steps, AS_OF, CUTOFF) for label in ("vnm", "jpn")])
+
+
 # --- sources and sinks ----------------------------------------------------------------
 
 
@@ -751,6 +823,38 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return spark.table(name).select("msrl", "sso_srl", "login_ip1", "login_tp", "login_dt", "m_exception")
 
 
+@_register(
+    "append_once",
+    "SELECT event_id AS msrl, user_id AS sso_srl, event_type AS m_exception, CAST(event_id % 3 AS VARCHAR) AS batch FROM events",
+)
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """Three loads, each handed over twice, the second time with other rows as well."""
+    name, folder = _sink(spark, "login_log")
+    ensure_batch_table(spark, name, LOGIN_LOG, folder)
+    events = given(spark, sf, "events").select(
+        F.col("event_id").alias("msrl"), F.col("user_id").alias("sso_srl"), F.col("event_type").alias("m_exception")
+    )
+    for load in range(3):
+        append_once(events.where(F.col("msrl") % 3 == load), name, str(load))
+        append_once(events, name, str(load))
+    return spark.table(name).select("msrl", "sso_srl", "m_exception", "batch")
+
+
+@_register("truncate_reload_from_itself", "SELECT ddl AS contents_1 FROM ddl_text WHERE ddl IS NOT NULL")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """A reload that reads the table it replaces, after one that failed midway."""
+    name, folder = _sink(spark, "index_ddl")
+    ensure_table(spark, name, INDEX_DDL, location=folder)
+    truncate_reload(standin(spark, sf, "ddl_text").select(F.col("ddl").alias("contents_1")), name)
+    broken = F.when(F.col("contents_1").isNull(), F.raise_error(F.lit("broken")).cast("string")).otherwise(F.lit("x"))
+    try:
+        truncate_reload(spark.table(name).select(broken.alias("contents_1")), name)
+    except PySparkException:
+        pass  # the rows before it are still there
+    truncate_reload(spark.table(name).where(F.col("contents_1").isNotNull()), name)
+    return spark.table(name)
+
+
 @_register("truncate_reload", "SELECT ddl AS contents_1 FROM ddl_text WHERE ddl IS NOT NULL")
 def _(spark: SparkSession, sf: str) -> DataFrame:
     name, folder = _sink(spark, "index_ddl")
@@ -841,3 +945,15 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     events = read_login_stream(spark, f"{folder}/events", files_per_trigger=2)
     ingest_logins_stream(events, f"{folder}/log", f"{folder}/checkpoint", AS_OF).awaitTermination()
     return spark.read.schema(LOGIN_LOG).parquet(f"{folder}/log")
+
+
+@_register("ingest_logins_replayed", _LOG_SQL)
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """The stream into a table, started anew without its checkpoint: every batch comes again."""
+    name, folder = _sink(spark, "login_log")
+    ensure_batch_table(spark, name, LOGIN_LOG, f"{folder}/log")
+    standin(spark, sf, "login_event").repartition(4).write.parquet(f"{folder}/events")
+    for attempt in range(2):
+        events = read_login_stream(spark, f"{folder}/events", files_per_trigger=2)
+        ingest_logins_into(events, name, f"{folder}/checkpoint{attempt}", "logins", AS_OF).awaitTermination()
+    return spark.table(name).select(*LOGIN_LOG.names)

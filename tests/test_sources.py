@@ -1,7 +1,9 @@
 from __future__ import annotations
 
+import json
 import uuid
 from concurrent.futures import ThreadPoolExecutor
+from datetime import datetime
 from pathlib import Path
 
 import pytest
@@ -15,8 +17,8 @@ from tidemark.plans.ddl_text import index_ddl_extract, reload_index_ddl
 from tidemark.schemas import DDL_TEXT, INDEX_DDL, LOGIN_LOG, SOURCES, TARGETS
 from tidemark.sources.catalog import jdbc_options, load_sources
 from tidemark.sources.files import Files
-from tidemark.sources.sinks import append_rows, ensure_table, fill_columns, is_empty, truncate_reload
-from tidemark.sources.snapshots import Snapshots
+from tidemark.sources.sinks import append_once, append_rows, ensure_batch_table, ensure_table, fill_columns, is_empty, truncate_reload
+from tidemark.sources.snapshots import Snapshots, Version
 from tidemark.sources.staging import Staging, shared_folder
 
 
@@ -366,3 +368,195 @@ def test_only_touched_id_ranges_are_rewritten(spark):
     assert rewritten == {("track", "", 0), ("track", "", 12)}
     assert tables["track"].count() == 102
     assert set(rows(tables["track"].where("track_title = 'new'").select("track_id"))) == {(15,), (20,), (1200,)}
+
+
+# --- runs beside one another, missed days, scattered changes
+
+
+def file_bytes(spark, folders):
+    return sum(Files(spark).size(p) for p in folders)
+
+
+def test_a_scattered_change_writes_its_own_rows_only(spark):
+    store = Snapshots(spark, folder(spark), ids_per_part=10)
+    ids = [i * 7919 * 10**10 for i in range(1, 40_001)]
+    store.seed({"mv": mvs(spark, ids).repartition(4)})
+    _, seeded_version = store.published()
+    written_bytes = []
+    for n, some in enumerate((ids[:20], ids[10:2000])):
+        run, version = store.published()
+        fresh = Staging(spark)(mvs(spark, some, f"v{n}"), "fresh")
+        before = store.read_for("mv", version, store.parts_of("mv", fresh), fresh)
+        assert before.count() == len(some)
+        written = store.write(before.drop("mv_title").join(fresh.select("mv_id", "mv_title"), "mv_id").select(*before.columns), "mv", store.new_version(run + 1))
+        store.publish_over(run, version, [(written, True)], written)
+        written_bytes.append(file_bytes(spark, written.values()) / len(written))
+    whole = file_bytes(spark, seeded_version.values()) / len(seeded_version)
+    assert written_bytes[0] < 0.8 * whole  # what a parquet file of a row or two takes
+    _, version = store.published()
+    assert dict(version) == dict(seeded_version)  # no base was written again
+    titles = dict.fromkeys(ids, "old") | dict.fromkeys(ids[:20], "v0") | dict.fromkeys(ids[10:2000], "v1")
+    assert dict(rows(store.read_table("mv", version).select("mv_id", "mv_title"))) == titles
+    folded = store.fold(ratio=0.0)
+    assert folded and folded == {k for k in version if version.changes_of(k)}
+    _, after = store.published()
+    assert not any(after.changes_of(k) for k in after)
+    assert dict(rows(store.read_table("mv", after).select("mv_id", "mv_title"))) == titles
+    assert store.fold(ratio=0.0) == set()
+    store.remove_unused(keep_runs=1)
+    assert dict(rows(store.read_table("mv", after).select("mv_id", "mv_title"))) == titles
+
+
+def test_a_base_rewritten_meanwhile_voids_no_newer_change(spark):
+    store = Snapshots(spark, folder(spark), ids_per_part=1)
+    ids = [-i for i in range(1, 50)]
+    store.seed({"mv": mvs(spark, ids)})
+    run, begun = store.published()
+    first = store.write(mvs(spark, [-1], "x"), "mv", store.new_version(run + 1))
+    store.publish_over(run, begun, [(first, True)], first)
+    with pytest.raises(FileExistsError, match="another run"):
+        store.publish_over(run, begun, [(first, False)], ())
+    other = store.write(mvs(spark, [next(i for i in ids if store.parts_of("mv", mvs(spark, [i])) != store.parts_of("mv", mvs(spark, [-1])))], "y"), "mv", "other")
+    merged = store.publish_over(run, begun, [(other, True)], other)
+    titles = rows(store.read_table("mv", merged).groupBy("mv_title").count())
+    assert titles == [("old", 47), ("x", 1), ("y", 1)]
+    assert store.published()[0] == 3
+    with pytest.raises(FileExistsError):  # what a run has only read counts too
+        store.publish_over(run, begun, [], {("mv",)})
+
+
+def rights_tables(spark, store):
+    tables = store.read(store.published()[1])
+    return {n: rows(tables[n]) for n in ("track_local", "album_local")}
+
+
+def test_rights_of_two_regions_side_by_side(spark, monkeypatch):
+    src, tgt, store = seeded(spark)
+    one_by_one = Snapshots(spark, folder(spark))
+    one_by_one.seed(tiny.frames(spark, tgt))
+    for region in (VNM, JPN):
+        sync_rights(spark, src, one_by_one, region, tiny.AS_OF, offset_days=-5000)
+    publish = Snapshots.publish_over
+    rivals = []
+
+    def late(self, *args):
+        if not rivals:  # before this run publishes, another one begins and ends
+            rivals.append(sync_rights)
+            sync_rights(spark, src, Snapshots(spark, store._root), JPN, tiny.AS_OF, offset_days=-5000)
+        return publish(self, *args)
+
+    monkeypatch.setattr(Snapshots, "publish_over", late)
+    tables = sync_rights(spark, src, store, VNM, tiny.AS_OF, offset_days=-5000)
+    assert store.published()[0] == 3
+    assert rights_tables(spark, store) == rights_tables(spark, one_by_one)
+    assert rows(tables["track_local"]) == rights_tables(spark, store)["track_local"]
+    rivals.clear()
+    with pytest.raises(FileExistsError, match="another run"):
+        sync_rights(spark, src, store, JPN, tiny.AS_OF, offset_days=-5000)
+
+
+def test_a_missed_day_is_made_up_for(spark):
+    src, tgt = tiny.catalogue(12)
+    on_day = {1: datetime(2024, 1, 7, 12), 2: datetime(2024, 1, 8, 12), 3: datetime(2024, 1, 9, 12)}
+    row = dict.fromkeys(SOURCES["ttmp_trackright"].names) | {"service_id": 716, "right_yn": "Y"}
+    rights = [row | {"track_id": i, "crt_dt": at, "upd_dt": at} for i, at in on_day.items()]
+    track = {c: None for c in TARGETS["track_local"].names} | {"local_cd": "JPN", "str_rights_yn": "N"}
+    tgt |= {"track_local": [track | {"track_id": i} for i in on_day]}
+    days = [datetime(2024, 1, 8, 9), datetime(2024, 1, 9, 9), datetime(2024, 1, 10, 9)]
+    kept = {}
+    for label, runs in {"daily": days, "missed": days[::2], "unmarked": days[::2]}.items():
+        store = Snapshots(spark, folder(spark))
+        store.seed(tiny.frames(spark, tgt))
+        for as_of in runs:
+            seen = [r for r in rights if r["crt_dt"] < as_of]
+            sync_rights(spark, tiny.frames(spark, src | {"ttmp_trackright": seen}), store, JPN, as_of)
+            if label == "unmarked":
+                run, version = store.published()
+                store.publish(Version(version, version.changes), run + 1)
+            else:
+                assert store.published()[1].marks == {"JPN": {"ttmp_trackright": as_of.isoformat()}}
+        tables = store.read(store.published()[1])
+        kept[label] = {n: rows(tables[n].drop("upd_dt")) for n in ("track_local", "album_local")}
+    assert kept["daily"] == kept["missed"]
+    assert kept["unmarked"]["track_local"] != kept["daily"]["track_local"]
+
+
+def test_lists_without_changes_and_marks_are_read(spark):
+    root = folder(spark)
+    store = Snapshots(spark, root)
+    store.seed({"mv": mvs(spark, [1])})
+    path = Path(root, "published/run-0000000001.json")
+    content = json.loads(path.read_text())
+    del content["changes"], content["marks"]
+    path.write_text(json.dumps(content))
+    for crc in path.parent.glob(".*.crc"):
+        crc.unlink()
+    run, version = Snapshots(spark, root).published()
+    assert run == 1 and not version.marks and not version.changes and store.read_table("mv", version).count() == 1
+
+
+# --- reload and repeat-safe appends
+
+
+def test_a_failed_reload_leaves_the_old_rows(spark):
+    name = new_table(spark, INDEX_DDL)
+    first = spark.createDataFrame([(str(i),) for i in range(5)], "contents_1 string")
+    truncate_reload(first, name)
+    reader = spark.table(name)
+    bad = spark.range(0, 1000, 1, 8).select(F.when(F.col("id") < 999, "x").otherwise(F.raise_error(F.lit("midway")).cast("string")).alias("contents_1"))
+    before = set(Files(spark).names(shared_folder(spark)))
+    with pytest.raises(Exception, match="midway"):
+        truncate_reload(bad, name)
+    assert set(Files(spark).names(shared_folder(spark))) == before
+    assert rows(spark.table(name)) == rows(first)
+    truncate_reload(spark.table(name).where("contents_1 > '2'"), name)
+    assert rows(spark.table(name)) == [("3",), ("4",)]
+    assert reader.count() == 5  # planned before the reload, it still finds its files
+    truncate_reload(first.limit(0), name)
+    assert is_empty(spark.table(name))
+    append_rows(first, name)
+    assert spark.table(name).count() == 5
+
+
+def test_reloads_leave_two_folders(spark):
+    place = folder(spark)
+    name = f"t_{uuid.uuid4().hex}"
+    ensure_table(spark, name, INDEX_DDL, location=f"{place}/ddl")
+    for n in range(4):
+        truncate_reload(spark.createDataFrame([(str(n),)], "contents_1 string"), name)
+    assert len([n for n in Files(spark).names(place) if "__reload-" in n]) == 2
+
+
+def test_a_partitioned_table_is_not_reloaded(spark):
+    name = new_table(spark, LOGIN_LOG, partition_by=["login_tp"])
+    with pytest.raises(ValueError, match="partitions"):
+        truncate_reload(spark.createDataFrame([(1,)], "msrl long"), name)
+
+
+def batch_table(spark):
+    name, place = f"t_{uuid.uuid4().hex}", folder(spark)
+    ensure_batch_table(spark, name, LOGIN_LOG, place)
+    return name, place
+
+
+def test_append_once(spark):
+    name, place = batch_table(spark)
+    one = spark.createDataFrame([(1, "x")], "msrl long, login_tp string")
+    odd = "it's \\ \"7\" %/="
+    assert append_once(one, name, "a") and append_once(one, name, odd)
+    assert not append_once(one.limit(0), name, "a") and not append_once(one, name, odd)
+    with pytest.raises(Exception, match="midway"):
+        append_once(one.withColumn("login_tp", F.raise_error(F.lit("midway")).cast("string")), name, "b")
+    assert append_once(one, name, "b")
+    assert rows(spark.table(name).select("msrl", "batch")) == sorted([(1, "a"), (1, "b"), (1, odd)], key=repr)
+    assert len(Files(spark).names(place)) == 3
+    with pytest.raises(ValueError, match="batch"):
+        append_once(one.withColumn("batch", F.lit("c")), name, "c")
+
+
+def test_of_rival_appends_of_one_load_one_wins(spark):
+    name, place = batch_table(spark)
+    one = spark.createDataFrame([(1,)], "msrl long")
+    with ThreadPoolExecutor(4) as pool:
+        assert list(pool.map(lambda _: append_once(one, name, "a"), range(4))).count(True) == 1
+    assert spark.table(name).count() == 1 and len(Files(spark).names(place)) == 1

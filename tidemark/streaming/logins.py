@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.plans.logins import ingest_logins
 from tidemark.schemas import LOGIN_EVENT
+from tidemark.sources.sinks import append_once
 
 
 def read_login_stream(spark: SparkSession, folder: str, files_per_trigger: int | None = None) -> DataFrame:
@@ -36,3 +37,26 @@ def ingest_logins_stream(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def ingest_logins_into(
+    events: DataFrame, sink: str, checkpoint: str, stream: str, as_of: datetime | None = None
+) -> StreamingQuery:
+    """Append the log rows of everything that has arrived to a table, then stop.
+
+    The table is one of :func:`ensure_batch_table`. Each batch is a load named by the
+    stream and its number, visible in one call, so that a batch that is run again, after
+    a failure or from a checkpoint that was lost, is ignored. Any reader of the table sees
+    whole batches.
+    """
+
+    def add(rows: DataFrame, number: int) -> None:
+        append_once(rows, sink, f"{stream}-{number:010d}")
+
+    return (
+        ingest_logins(events, as_of)
+        .writeStream.foreachBatch(add)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
