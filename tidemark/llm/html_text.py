@@ -151,7 +151,7 @@ def blocks(html: str) -> list[Block]:
             flush()
             if name == "body":
                 close("head")
-            if name in _CLOSES_P and stack and any(x[0] == "p" for x in stack[-8:]):
+            if name in _CLOSES_P and depths.get("p"):
                 close("p")
             elif name in ("li", "dt", "dd", "tr", "td", "th") and stack and stack[-1][0] == name:
                 close(name)
