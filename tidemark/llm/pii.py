@@ -36,10 +36,10 @@ _NUMBERS = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _BOX = re.compile(r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)*+")
-_DIAL = re.compile(r"\+?[0-9](?:[().-]?[0-9]){4,18}")
+_DIAL = re.compile(r"\+?[0-9](?:[().-]?[0-9]){4,}+")
 _USER = re.compile(r"[^\s/?#@:\"'<>]++(?::[^\s/?#@\"'<>]*+)?+@[A-Za-z0-9.-]++")
-_SCHEME = re.compile(r"[A-Za-z][A-Za-z0-9+.-]*\Z")
-_BETWEEN = re.compile(r"(?:[\x20\t]?(?:no|nr|number|id|key|is|code)\b\.?)?[\x20\t]{0,3}[:=#]{0,2}[\x20\t]{0,3}[\"']?", re.I | re.A)
+_SCHEME = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+.-")
+_BETWEEN = re.compile(r"(?:[\x20\t]*+(?:no|nr|number|id|key|is|code)\b\.?)?[\"']?[\x20\t]*+([:=#]{0,2})[\x20\t]*+[\"']?", re.I | re.A)
 _VALUE = re.compile(r"[A-Za-z0-9](?:[_/+.-]?[A-Za-z0-9]){4,}+")
 _IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}")
 _AKIA = re.compile(r"AKIA[0-9A-Z]{16}(?![0-9A-Za-z])")
@@ -47,18 +47,19 @@ _AKIA = re.compile(r"AKIA[0-9A-Z]{16}(?![0-9A-Za-z])")
 MAIL_SCHEMES = ("mailto:", "sip:", "sips:", "xmpp:")
 DIAL_SCHEMES = ("tel:", "sms:", "callto:")
 CUES = (
-    "account", "acct", "api_key", "apikey", "iban", "login", "passport", "passwd", "password",
-    "secret", "ssn", "tax id", "token", "user id", "userid", "username",
+    "account", "acct", "api key", "api-key", "api_key", "apikey", "iban", "login", "passport", "passwd", "password",
+    "secret", "ssn", "tax id", "tax_id", "taxid", "token", "user id", "user_id", "userid", "username",
 )
+SECRETS = frozenset(("api key", "api-key", "api_key", "apikey", "passwd", "password", "secret", "token"))
+_LOWER = {i: i + 32 for i in range(ord("A"), ord("Z") + 1)}
 
 
 def _automaton() -> ahocorasick.Automaton:
     found = ahocorasick.Automaton()
-    plain = [("@", "at"), ("://", "scheme"), ("AKIA", "akia")]
+    plain = [("@", "at"), ("://", "scheme"), ("akia", "akia")]
     plain += [(x, "mail") for x in MAIL_SCHEMES] + [(x, "dial") for x in DIAL_SCHEMES] + [(x, "cue") for x in CUES]
     for word, kind in plain:
-        for form in {word, word.upper(), word.capitalize()} if kind not in ("at", "scheme", "akia") else {word}:
-            found.add_word(form, (kind, len(form)))
+        found.add_word(word, (kind, len(word)))
     found.make_automaton()
     return found
 
@@ -96,11 +97,15 @@ def _ips(text: str) -> Iterator[Span]:
 
 
 def _after(text: str, at: int, floor: int, kind: str) -> Span | None:
-    """What follows a scheme: from the scheme's first character to the address' end."""
+    """What follows a scheme: from the scheme's first letter to the address' end."""
     if kind == "scheme":
-        head = _SCHEME.search(text[max(floor, at - 32) : at])
-        found = _USER.match(text, at + 3) if head else None
-        return (at - len(head.group()), found.end()) if found else None
+        found = _USER.match(text, at + 3)
+        start = at
+        while found and start > floor and text[start - 1] in _SCHEME:
+            start -= 1
+        while start < at and not text[start].isalpha():
+            start += 1
+        return (start, found.end()) if found and start < at else None
     size = text.find(":", at) + 1
     found = (_BOX if kind == "mail" else _DIAL).match(text, size)
     if not found or at > floor and text[at - 1].isalnum():
@@ -109,17 +114,20 @@ def _after(text: str, at: int, floor: int, kind: str) -> Span | None:
 
 
 def _account(text: str, at: int, end: int) -> Span | None:
-    """The identifier behind a cue, without the cue."""
+    """The identifier behind a cue, without the cue: one with four digits, or, behind a
+    secret's cue and a sign, any value."""
     if at and text[at - 1].isalnum() or end < len(text) and text[end].isalpha():
         return None
-    value = _BETWEEN.match(text, end).end()
+    between = _BETWEEN.match(text, end)
+    value = between.end()
     if value == end:  # nothing between: no value is looked at, so that none is read twice
         return None
-    if text[at:end].lower() == "iban":
+    cue = text[at:end].lower()
+    if cue == "iban":
         found = _IBAN.match(text, value)
         return found.span() if found and _mod97(found.group()) else None
     found = _VALUE.match(text, value)
-    if not found or sum(c.isdigit() for c in found.group()) < 4:
+    if not found or not (cue in SECRETS and between[1]) and sum(c.isdigit() for c in found.group()) < 4:
         return None
     return found.span()
 
@@ -139,7 +147,9 @@ def spans(text: str) -> dict[str, list[Span]]:
             found[kind].append(span)
             ends[kind] = span[1]
 
-    for last, (what, size) in _ANCHORS.iter(text):
+    # cues in any case; letters beyond A-Z stay, so that offsets do
+    lower = text.lower() if text.isascii() else text.translate(_LOWER)
+    for last, (what, size) in _ANCHORS.iter(lower):
         at = last - size + 1
         if what == "at":
             add("email", _email(text, at, ends["email"]))
