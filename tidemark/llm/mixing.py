@@ -107,8 +107,8 @@ def multipliers(cells: DataFrame, scratch: Scratch, most: int = MOST) -> DataFra
             F.sum((~F.col("done")).cast("long")).alias("open"),
         )
         if not seen["open"]:
-            break
-    return state.select("s", "lam")
+            return state.select("s", "lam")
+    raise RuntimeError(f"{seen['open']} sources have no multiplier after {STEPS} steps")
 
 
 def _copies(cells: DataFrame, scratch: Scratch, most: int) -> DataFrame:
