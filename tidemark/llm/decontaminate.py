@@ -59,38 +59,34 @@ def windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     return rows.select("item_id", F.array_join("words", " ").alias("win"), "words", F.size("words").alias("len")).distinct()
 
 
-def _met(docs: DataFrame, hashes: DataFrame, lengths: list[int], window: int) -> DataFrame:
-    """One row per document (h null), and one per shingle of it that the hashes hold."""
-    tokens = docs.select("doc_id", F.xxhash64(F.col("text").cast("string")).alias("text_hash"), words(F.col("text")).alias("w"))
-    # the null behind the first list is the document's own row
+def _words_of(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", F.xxhash64(F.col("text").cast("string")).alias("text_hash"), words(F.col("text")).alias("w"))
+
+
+def _hashed(docs: DataFrame, lengths: list[int]) -> DataFrame:
+    """Number of words and, for each length, the shingle hashes of every document."""
     lists = [F.struct(F.lit(k).alias("k"), _shingles(F.col("w"), k).alias("hs")) for k in lengths]
-    lists[0] = F.struct(
-        F.lit(lengths[0]).alias("k"),
-        F.concat(_shingles(F.col("w"), lengths[0]), F.array(F.lit(None).cast("bigint"))).alias("hs"),
-    )
-    rows = tokens.select(*_KEY, "w", F.inline(F.array(*lists)))
-    rows = rows.select(*_KEY, "w", "k", F.posexplode("hs").alias("pos", "h"))
-    met = rows.join(F.broadcast(hashes.withColumn("met", F.lit(True))), "h", "left").where("met or h is null")
-    first = F.greatest(F.lit(0), F.col("pos") + F.col("k") - window)
-    near = F.slice("w", first + 1, F.col("pos") + window - first)
-    return met.select(
-        *_KEY,
-        F.size("w").alias("n_words"),
-        "k",
-        "pos",
-        "h",
-        F.when(F.col("h").isNotNull(), first).alias("first"),
-        F.when(F.col("h").isNotNull(), near).alias("near"),
-    )
+    return _words_of(docs).select(*_KEY, F.size("w").alias("n_words"), F.array(*lists).alias("lists"))
+
 
+def _met(hashed: DataFrame, listed: DataFrame) -> DataFrame:
+    """The shingles of documents that a bounded list has, with their places."""
+    rows = hashed.select(*_KEY, "n_words", F.inline("lists"))
+    rows = rows.select(*_KEY, "n_words", F.posexplode("hs").alias("pos", "h"))
+    return rows.join(F.broadcast(listed), "h")
 
-def _places(met: DataFrame, block: DataFrame, scratch: Scratch) -> DataFrame:
-    """Verified places: key, start, end, win."""
-    hits = met.where("h is not null")
-    counts = hits.groupBy("h").agg(F.count(F.lit(1)).alias("times"))
+
+def _places(docs: DataFrame, hashed: DataFrame, block: DataFrame, scratch: Scratch) -> DataFrame:
+    """Verified places of a block of windows: key, start, end, win.
+
+    Shingles are counted first, which leaves a number for each; only the rarest one of
+    a window, and of windows all of whose shingles occur, is then looked for in documents.
+    """
+    shingles = block.select("win", F.posexplode("hs").alias("offset", "h"))
+    counts = _met(hashed, shingles.select("h").distinct()).groupBy("h").agg(F.count(F.lit(1)).alias("times"))
+    counts = scratch(counts, "rarity")
     prefix = (
-        block.select("win", F.posexplode("hs").alias("offset", "h"))
-        .join(counts, "h", "left")
+        shingles.join(counts, "h", "left")
         .groupBy("win")
         .agg(F.min(F.struct(F.coalesce("times", F.lit(0)).alias("times"), "h", "offset")).alias("rarest"))
         .where("rarest.times > 0")
@@ -98,9 +94,12 @@ def _places(met: DataFrame, block: DataFrame, scratch: Scratch) -> DataFrame:
     )
     prefix = scratch(prefix.join(block.select("win", "words", "len"), "win"), "prefix")
     start = F.col("pos") - F.col("offset")
-    found = hits.join(F.broadcast(prefix), "h").withColumn("start", start)
-    found = found.where((F.col("start") >= F.col("first")) & (F.col("start") + F.col("len") <= F.col("n_words")))
-    found = found.where(F.slice("near", F.col("start") - F.col("first") + 1, F.col("len")) == F.col("words"))
+    near = _met(hashed, prefix).withColumn("start", start)
+    near = near.where((F.col("start") >= 0) & (F.col("start") + F.col("len") <= F.col("n_words")))
+    near = scratch(near.select(*_KEY, "start", "len", "win", "words").distinct(), "candidates")
+    # words are taken again of the documents with a candidate only
+    some = _joined(_words_of(docs), near.select(*_KEY).distinct(), "left_semi")
+    found = _joined(some, near, "inner").where(F.slice("w", F.col("start") + 1, F.col("len")) == F.col("words"))
     return found.select(*_KEY, "start", (F.col("start") + F.col("len")).alias("end"), "win").distinct()
 
 
@@ -132,13 +131,12 @@ def decontaminate(
     ).first()
     lengths = sorted(lengths, reverse=True) or [shingle]  # at most ``shingle`` of them
     blocks = max(1, -(-n // BLOCK_ROWS), -(-chars // BLOCK_BYTES))
-    places, own = [], None
+    hashed = scratch(_hashed(docs, lengths), "hashed")
+    own = hashed.select(*_KEY, "n_words")
+    places = []
     for b in range(blocks):
         block = wins.where(F.pmod(F.xxhash64("win"), F.lit(blocks)) == b) if blocks > 1 else wins
-        hashes = block.select(F.explode("hs").alias("h")).distinct()
-        met = scratch(_met(docs, hashes, lengths, window), "met")
-        own = own if own is not None else met.where("h is null").select(*_KEY, "n_words")
-        places.append(_places(met, block, scratch))
+        places.append(_places(docs, hashed, block, scratch))
     found = scratch(reduce(DataFrame.union, places), "places")
 
     before = W.partitionBy(*_KEY).orderBy("start").rowsBetween(W.unboundedPreceding, -1)
@@ -165,11 +163,14 @@ def decontaminate(
 def _joined(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
     right = right.withColumnsRenamed({c: f"_{c}" for c in _KEY})
     same = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & F.col("text_hash").eqNullSafe(F.col("_text_hash"))
-    return left.join(right, same, how).drop("_doc_id", "_text_hash")
+    return left.join(right, same, how).drop("_doc_id", "_text_hash")  # a semi join has neither
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, scratch: Scratch | None = None) -> DataFrame:
-    """``docs`` less its contaminated rows, columns as they are."""
+    """``docs`` less its contaminated rows, columns as they are, whatever their names.
+
+    Null and empty texts stay; repeated rows stay or go together; no rows give none.
+    """
     scratch = scratch or Scratch(docs.sparkSession, "decontaminate")
     judged = decontaminate(docs, benchmark, scratch=scratch)
     bad = scratch(judged.where("contaminated").select(*_KEY).distinct(), "bad")
