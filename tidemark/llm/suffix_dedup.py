@@ -34,14 +34,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tidemark.llm.common import Scratch
+from tidemark.llm.common import Scratch, arrow_rows
 from tidemark.llm.induced import repeated
 
 WINDOW = 200
 RUN = 32
-SHARD = 4 << 20  # bytes of stretches
+SHARD = 2 << 20  # bytes of stretches
 BLOCKS = (64, 16, 4, 1)  # offsets of the anchor in a block, step by step
-_PIECE = 2 << 20  # bytes hashed at once
+_PIECE = 1 << 18  # bytes hashed at once
+_SEEN = 1 << 16  # texts a task remembers to have looked at
+_ROWS = 512  # rows of whole texts handed to a worker at once
 _CUT = "h long, digest long, n long, bytes binary, off long, g binary"
 
 
@@ -131,7 +133,7 @@ def _anchored(docs: DataFrame, window: int, run: int) -> DataFrame:
                         seen.add(key)
                         keys.append(key)
                         texts.append(text)
-                if len(seen) > 1 << 18:
+                if len(seen) > _SEEN:
                     seen.clear()
                 named = pa.array(keys, pa.binary())
                 for number, h, first, n, digest in stretches(texts, window, run):
@@ -181,9 +183,7 @@ def _cut(window: int, run: int, width: int):
     """
 
     def cut(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
-            if not part.num_rows:
-                continue
+        for part in (whole.slice(at, _ROWS) for whole in parts for at in range(0, whole.num_rows, _ROWS)):
             h, digest, n, data, off = (part.column(i) for i in range(5))
             data = data.to_pylist()
             sizes = np.array([len(x) for x in data])
@@ -225,7 +225,7 @@ def _narrowed(rows: DataFrame, scratch: Scratch, window: int, run: int) -> tuple
             groups.where("rows > 1").drop("rows"), f"groups{width}",
             F.sum(F.when(fits, F.col("size"))).alias("fitting"), F.count(F.when(~fits, 1)).alias("large"),
         )
-        large = F.broadcast(groups.where(~fits).select("h", "g"))  # a row for SHARD bytes at least
+        large = groups.where(~fits).select("h", "g")  # staged: Spark broadcasts it if it is small
         rest = rows.join(large, ["h", "g"], "left_anti").join(groups.where(fits).select("h", "g"), ["h", "g"])
         rows = rows.join(large, ["h", "g"], "left_semi").select(rows.columns)
         if width == 1:
@@ -260,7 +260,7 @@ def _places(docs: DataFrame, scratch: Scratch, window: int, run: int) -> DataFra
     anchors, seen = scratch.counted(
         anchors, "anchors", F.sum(F.when(fits, F.col("size"))).alias("fitting"), F.count(F.when(~fits, 1)).alias("large")
     )
-    hot = F.broadcast(anchors.where(~fits).select("h"))  # a row for SHARD bytes at least
+    hot = anchors.where(~fits).select("h")  # staged: Spark broadcasts it if it is small
     sought = mixed.select(F.col("p.key").alias("key"), F.struct("h", "digest", "n", F.col("p.first").alias("first")).alias("s"))
     sought = scratch(sought.groupBy("key").agg(F.collect_list("s").alias("s")), "sought")
     texts = docs.select("key", "data").dropDuplicates(["key"]).join(sought, "key")
@@ -293,7 +293,7 @@ def _removed(window: int, carry: int):
     """Rows (others.., data, runs, all) to (others.., n_bytes, n_removed, n_spans, kept)."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
+        for part in (whole.slice(at, _ROWS) for whole in parts for at in range(0, whole.num_rows, _ROWS)):
             n_bytes, n_removed, n_spans, kept = [], [], [], []
             for data, runs, whole in zip(*(part.column(carry + i).to_pylist() for i in range(3))):
                 if whole:
@@ -335,8 +335,9 @@ def without_repeats(
     keys = rows.select("key", F.octet_length("data").alias("size")).where(F.col("size") >= window)
     copies = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     copies = copies.select("key", F.lit(True).alias("whole"))
-    runs = _places(rows, scratch, window, run).groupBy("key").agg(F.collect_set(F.struct("a", "b")).alias("runs"))
-    marks = scratch(runs.join(copies, "key", "full"), "removals")
+    with arrow_rows(docs.sparkSession, _ROWS):
+        runs = _places(rows, scratch, window, run).groupBy("key").agg(F.collect_set(F.struct("a", "b")).alias("runs"))
+        marks = scratch(runs.join(copies, "key", "full"), "removals")
     joined = rows.join(marks, "key", "left").select("doc_id", "data", "runs", F.coalesce("whole", F.lit(False)).alias("whole"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept binary"
