@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
-from itertools import count
+from contextlib import contextmanager
+from itertools import count, islice
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -123,3 +124,26 @@ def batches(rows: Iterator, size: int) -> Iterator[list]:
             kept = []
     if kept:
         yield kept
+
+
+def keep_oldest(known: dict, most: int) -> None:
+    """Forgets the younger half beyond ``most`` entries: what is frequent was met early."""
+    if len(known) > most:
+        kept = list(islice(known.items(), most // 2))
+        known.clear()
+        known.update(kept)
+
+
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Jobs started within hand Python workers that many rows at once.
+
+    For tables of whole texts, whose batches would else take much of a worker's memory.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)

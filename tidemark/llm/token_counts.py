@@ -22,7 +22,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Iterator
-from itertools import islice
 from os.path import commonprefix
 
 import numpy as np
@@ -30,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import keep_oldest
+
 SLICE = 1 << 16  # characters in a row of the stored table
 WORDS = 400_000  # words whose steps a worker remembers, some 90 MB
 PAIRS = 1_000_000  # pairs a worker remembers
@@ -41,14 +42,6 @@ _ALONE = "\n"  # a character that merges with nothing
 SLICES = "row long, doc_id {}, n_bytes long, n_chars long, n_tokens long, part int, first long, base long, least long, steps binary"
 
 
-def keep_oldest(known: dict, most: int) -> None:
-    """Forgets the younger half beyond ``most`` entries: what is frequent was met early."""
-    if len(known) > most:
-        kept = list(islice(known.items(), most // 2))
-        known.clear()
-        known.update(kept)
-
-
 class PrefixCounter:
     """Steps of texts: by how much each character changes the count of tokens."""
 

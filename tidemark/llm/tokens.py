@@ -19,8 +19,10 @@ runs again leaves the same files.
 from __future__ import annotations
 
 import posixpath
+import sys
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,12 +33,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tidemark.llm.common import Scratch, batches
+from tidemark.llm.common import Scratch, batches, keep_oldest
 
 END_ID = 0
-CACHED = 1_000_000  # pieces a worker remembers (about 200 MB); forgotten all at once beyond it
+CACHED = 1_000_000  # pieces a worker remembers (about 200 MB); the younger half is forgotten beyond it
+TIE = 128  # characters by which texts of one doc_id are dealt to parts
 _BATCH = 256  # documents encoded together
 _MARK = "\n"
+TAILS = 10_000  # runs of signs remembered
+_SIGNS = '.,!?;:#$%&*+-=^_~()[]{}"'  # no apostrophe, which may start a token with letters, and nothing of special tokens
+_SPACE = "\u0120"  # how byte-level files write a space
+# and other bytes: those that print as themselves, the rest, in order, as the letters from U+0100 on
+_PRINTED = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+_WRITTEN = {b: chr(0x100 + i) for i, b in enumerate(b for b in range(0x100) if b not in _PRINTED)}
 
 
 def _pieces(text: str) -> list[str] | None:
@@ -63,42 +72,70 @@ class Encoder:
         size = self._library.get_vocab_size(with_added_tokens=True)
         self.width = 2 if size <= 1 << 16 else 4
         self._kind = f"<u{self.width}"
+        self._code = "H" if self.width == 2 else "I"  # unsigned, of the machine; files are little-endian
         self._known: dict[str, bytes] = {}
+        self._tails: dict[str, bytes] = {}
         self._mark = self._ids(_MARK)
         self._starts = np.zeros(size, bool)
         for token, number in self._library.get_vocab(with_added_tokens=False).items():
             self._starts[number] = token[0] in "\u0120\u010a"  # how byte-level files write space and line end
         # the shortcut holds for byte-level files without a prefix space or a normalizer
-        probe = "ab cd\nef, 12"
-        cut = [self._ids(x) for x in ("ab", " cd", "\n", "ef", ",", " 12")]
-        self._cuttable = b"".join(cut) == self._ids(probe) and len(self._mark) == self.width
+        probe = "ab cd\nef, 12 gh&&& \u00e9\u00df.\"_ \u65e5\u672c"
+        cut = ["ab", *_pieces("x" + probe[2:])[1:]]
+        self._cuttable = len(self._mark) == self.width and sys.byteorder == "little"
+        if self._cuttable:
+            self._learn(set(cut[1:]))
+            self._cuttable = self._ids("ab") + b"".join(self._known[x] for x in cut[1:]) == self._ids(probe)
+            self._known.clear()
 
     def _ids(self, text: str) -> bytes:
         return np.array(self._library.encode(text, add_special_tokens=False).ids, self._kind).tobytes()
 
-    def _learn(self, pieces: list[str]) -> None:
-        """Encodes unknown pieces as one text and cuts its ids where pieces start.
+    def _learn(self, pieces: set[str]) -> None:
+        """Ids of unknown pieces. The vocabulary's pattern parts letters from signs, so a word
+        of letters, with signs behind it or without, is one token string for the library's
+        merges, and the signs another. All other pieces are encoded together."""
+        known, merge, kind, others = self._known, self._library.model.tokenize, self._code, []
+        for piece in pieces:
+            lead, core = (self._mark, piece[1:]) if piece[0] == _MARK else (b"", piece)
+            head = core.rstrip(_SIGNS)
+            if not head.isalpha():
+                others.append(piece)
+                continue
+            head_as_bytes = head if head.isascii() else head.encode().decode("latin-1").translate(_WRITTEN)
+            ids = array(kind, [t.id for t in merge(head_as_bytes if lead else _SPACE + head_as_bytes)]).tobytes()
+            known[piece] = lead + ids + (self._tail(core[len(head) :]) if len(head) < len(core) else b"")
+        for some in batches(others, 4096):
+            self._encode(some)
+
+    def _tail(self, signs: str) -> bytes:
+        found = self._tails.get(signs)
+        if found is None:
+            keep_oldest(self._tails, TAILS)
+            found = self._tails[signs] = self._ids(signs)
+        return found
+
+    def _encode(self, pieces: list[str]) -> None:
+        """Encodes pieces as one text and cuts its ids where pieces start.
 
         A piece starts with its only space or line end, so with the one token of it
         whose bytes do.
         """
-        for some in batches(pieces, 4096):
-            whole = "".join([x if x[0] == _MARK else " " + x for x in some])
-            ids = np.array(self._library.encode_batch_fast([whole], add_special_tokens=False)[0].ids, self._kind)
-            cuts = np.flatnonzero(self._starts[ids])
-            assert len(cuts) == len(some), "a piece holds no space or line end of its own"
-            places = (np.append(cuts, len(ids)) * self.width).tolist()
-            data = ids.tobytes()
-            self._known.update(zip(some, [data[a:b] for a, b in zip(places, places[1:])]))
+        whole = "".join([x if x[0] == _MARK else " " + x for x in pieces])
+        ids = np.array(self._library.encode_batch_fast([whole], add_special_tokens=False)[0].ids, self._kind)
+        cuts = np.flatnonzero(self._starts[ids])
+        assert len(cuts) == len(pieces), "a piece holds no space or line end of its own"
+        places = (np.append(cuts, len(ids)) * self.width).tolist()
+        data = ids.tobytes()
+        self._known.update(zip(pieces, [data[a:b] for a, b in zip(places, places[1:])]))
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         cut = [_pieces(x) if self._cuttable else None for x in texts]
-        if len(self._known) > CACHED:
-            self._known.clear()
+        keep_oldest(self._known, CACHED)
         known = self._known
         new = set().union(*filter(None, cut)).difference(known)
         if new:
-            self._learn(list(new))
+            self._learn(new)
         return [
             self._ids(text or "") if pieces is None else b"".join(map(known.__getitem__, pieces))[self.width :]
             for text, pieces in zip(texts, cut)
@@ -176,7 +213,9 @@ def write_store(docs: DataFrame, uri: str, tokenizer_file: str, end_id: int = EN
 
     dealt = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     order = [F.col("doc_id").asc_nulls_last(), F.col("text")]
-    dealt = dealt.repartitionByRange(n, F.col("doc_id").asc_nulls_last()).sortWithinPartitions(*order)
+    # many rows of one doc_id, or without any, spread over parts by how their texts begin
+    ranges = [order[0], F.substring("text", 1, TIE)]
+    dealt = dealt.repartitionByRange(n, *ranges).sortWithinPartitions(*order)
     made = dealt.mapInArrow(run, "part int, n_docs long, n_ids long, width int")
     made.write.mode("overwrite").parquet(f"{uri}/made")
     made = spark.read.parquet(f"{uri}/made")
