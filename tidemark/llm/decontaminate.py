@@ -8,10 +8,11 @@ prefix is its single rarest shingle: that token is joined, the place must lie in
 the document (position and length bounds), and the words there are compared with the
 window's.
 
-The corpus is read once. Its shingles meet the benchmark's by hash; the few that
-match keep the words around them, are counted over all documents, and the counts
-choose each window's prefix. The benchmark side is broadcast in blocks of a fixed
-size; a larger benchmark takes more passes over the corpus, never a larger broadcast.
+Shingles are hashed once and written with their documents. One pass over the hashes
+counts those the benchmark has; the counts choose each window's prefix, and a second
+pass looks for prefixes alone. Words are compared in the documents that have one. The
+benchmark side is broadcast in blocks of a fixed size; a larger benchmark takes more
+passes over the hashes, never a larger broadcast.
 """
 
 from __future__ import annotations
@@ -59,14 +60,11 @@ def windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     return rows.select("item_id", F.array_join("words", " ").alias("win"), "words", F.size("words").alias("len")).distinct()
 
 
-def _words_of(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", F.xxhash64(F.col("text").cast("string")).alias("text_hash"), words(F.col("text")).alias("w"))
-
-
 def _hashed(docs: DataFrame, lengths: list[int]) -> DataFrame:
     """Number of words and, for each length, the shingle hashes of every document."""
     lists = [F.struct(F.lit(k).alias("k"), _shingles(F.col("w"), k).alias("hs")) for k in lengths]
-    return _words_of(docs).select(*_KEY, F.size("w").alias("n_words"), F.array(*lists).alias("lists"))
+    tokens = docs.select("doc_id", F.xxhash64(F.col("text").cast("string")).alias("text_hash"), words(F.col("text")).alias("w"))
+    return tokens.select(*_KEY, F.size("w").alias("n_words"), F.array(*lists).alias("lists"))
 
 
 def _met(hashed: DataFrame, listed: DataFrame) -> DataFrame:
@@ -92,14 +90,16 @@ def _places(docs: DataFrame, hashed: DataFrame, block: DataFrame, scratch: Scrat
         .where("rarest.times > 0")
         .select("win", "rarest.h", "rarest.offset")
     )
-    prefix = scratch(prefix.join(block.select("win", "words", "len"), "win"), "prefix")
+    prefix = scratch(prefix.join(block.select("win", "len"), "win"), "prefix")
     start = F.col("pos") - F.col("offset")
     near = _met(hashed, prefix).withColumn("start", start)
     near = near.where((F.col("start") >= 0) & (F.col("start") + F.col("len") <= F.col("n_words")))
-    near = scratch(near.select(*_KEY, "start", "len", "win", "words").distinct(), "candidates")
-    # words are taken again of the documents with a candidate only
-    some = _joined(_words_of(docs), near.select(*_KEY).distinct(), "left_semi")
-    found = _joined(some, near, "inner").where(F.slice("w", F.col("start") + 1, F.col("len")) == F.col("words"))
+    near = scratch(near.select(*_KEY, "start", "len", "win").distinct(), "candidates")
+    # words are taken again, of the documents with a candidate only
+    named = docs.select("doc_id", F.xxhash64(F.col("text").cast("string")).alias("text_hash"), "text")
+    some = _joined(named, scratch(near.select(*_KEY).distinct(), "candidate_documents"), "left_semi")
+    found = _joined(some.select(*_KEY, words(F.col("text")).alias("w")), near, "inner")
+    found = found.where(F.array_join(F.slice("w", F.col("start") + 1, F.col("len")), " ") == F.col("win"))
     return found.select(*_KEY, "start", (F.col("start") + F.col("len")).alias("end"), "win").distinct()
 
 
