@@ -41,6 +41,7 @@ from tidemark.plans.logins import ingest_logins, is_mobile, parse_client, valid_
 from tidemark.plans.runner import sync_catalog, sync_rights
 from tidemark.schemas import INDEX_DDL, LOGIN_LOG, TARGETS
 from tidemark.sources.catalog import load_sources
+from tidemark.sources.file_dates import date_columns
 from tidemark.sources.parallel import side_by_side
 from tidemark.sources.sinks import append_once, append_rows, ensure_batch_table, ensure_table, fill_columns, is_empty, truncate_reload
 from tidemark.sources.snapshots import Snapshots
@@ -97,6 +98,38 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _by_files(spark: SparkSession, sf: str, names: Sequence[str]) -> Tables:
+    """Replicas in files by date, with the dates of each; the later half arrives after a first load."""
+    root, dates_root = _new_folder(spark), _new_folder(spark)
+    for later in (False, True):
+        for name in names:
+            rows = standin(spark, sf, name)
+            date = F.coalesce(*[F.col(c) for c in reversed(date_columns(rows.schema))])
+            arrives = F.coalesce(date > at(_HALF), F.lit(False)) == later
+            rows.where(arrives).repartitionByRange(8, date).write.mode("append").parquet(f"{root}/{name}")
+        src = load_sources(spark, root, names=names, dates_root=dates_root)
+    return src
+
+
+_HALF = datetime(1997, 1, 1)
+
+
+@_register(
+    "changed_since_by_files",
+    f"SELECT track_id, nation_cd, crt_dt, upd_dt FROM ted_track_w WHERE crt_dt > {CUT} OR upd_dt > {CUT}",
+)
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    src = _by_files(spark, sf, ["ted_track_w"])
+    rows = changed_since(src.since("ted_track_w", CUTOFF), CUTOFF)
+    return rows.select("track_id", "nation_cd", "crt_dt", "upd_dt")
+
+
+@_register("changed_tracks_by_files", oracle.track_ids(RULES["vnm"]))
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    src = _by_files(spark, sf, ["ted_track", "ted_track_w", "ted_trackartist"])
+    return tracks.changed_tracks(src, Run.start(spark, VNM, AS_OF))
+
+
 @_register(
     "changed_ids",
     f"""SELECT DISTINCT w.track_id FROM ted_track_w w, ted_trackartist x

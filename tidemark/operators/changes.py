@@ -58,15 +58,19 @@ def changed_ids(
     key: str,
     cut: datetime,
     stage: Stage | None = None,
+    recent: tuple[DataFrame, DataFrame] | None = None,
 ) -> DataFrame:
     """Ids that have a region row and an association row, any of them changed.
 
     A changed base row counts too when ``base`` is given. The candidate ids are
     as few as the change is small; written down first (``stage``), their exact
-    size lets the two key scans run without shuffling the big tables.
+    size lets the two key scans run without shuffling the big tables. ``recent``
+    are the parts of ``region`` and ``assoc`` that hold their changed rows; ``base``
+    is only looked through for changes, so it may be such a part itself.
     """
-    own = [region] if base is None else [region, base]
-    candidates = touched_ids(key, cut, own, assoc, ("upd_dt",)).select(key)
+    changed_region, changed_assoc = recent or (region, assoc)
+    own = [changed_region] if base is None else [changed_region, base]
+    candidates = touched_ids(key, cut, own, changed_assoc, ("upd_dt",)).select(key)
     if stage is not None:
         candidates = stage(candidates, f"candidates_{key}")
     in_region = has_parent(region.select(key), candidates, [key])

@@ -17,17 +17,17 @@ KEY = "album_id"
 
 def changed_albums(src: Tables, run: Run) -> DataFrame:
     """Ids the generic sync works on."""
-    region = run.of_region(src["ted_album_w"])
-    return run.stage(
-        changed_ids(region, src["ted_albumartist"], None, KEY, run.cut, run.stage), "album_ids"
-    )
+    region, artists = run.of_region(src["ted_album_w"]), src["ted_albumartist"]
+    recent = run.of_region(run.recent(src, "ted_album_w")), run.recent(src, "ted_albumartist")
+    return run.stage(changed_ids(region, artists, None, KEY, run.cut, run.stage, recent), "album_ids")
 
 
 def sync_album(src: Tables, tgt: Tables, run: Run, ids: DataFrame | None = None) -> DataFrame:
     base, region = src["ted_album"], run.of_region(src["ted_album_w"])
     artists = src["ted_albumartist"]
     if run.region.regional:
-        ids = run.stage(touched_ids(KEY, run.cut, [base, region], artists), "album_ids")
+        own = [run.recent(src, "ted_album"), run.of_region(run.recent(src, "ted_album_w"))]
+        ids = run.stage(touched_ids(KEY, run.cut, own, run.recent(src, "ted_albumartist")), "album_ids")
         rows = changed_pairs(base, region, ids, KEY, run.cut)
         status = status_of("db_sts", "w_db_sts", approved="svc_aprv_yn")
     else:
@@ -62,7 +62,8 @@ def sync_album(src: Tables, tgt: Tables, run: Run, ids: DataFrame | None = None)
 def sync_album_local(src: Tables, tgt: Tables, run: Run, ids: DataFrame | None = None) -> DataFrame:
     region = run.of_region(src["ted_album_w"])
     if run.region.regional:
-        touched = touched_ids(KEY, run.cut, [region], src["ted_albumartist"], ("upd_dt",))
+        own = [run.of_region(run.recent(src, "ted_album_w"))]
+        touched = touched_ids(KEY, run.cut, own, run.recent(src, "ted_albumartist"), ("upd_dt",))
         touched = known_in(run.stage(touched, "album_local_ids"), tgt["album"], [KEY], run.stage)
         rows = region.join(run.stage(touched, "album_local_known"), KEY).where(
             changed(run.cut, "crt_dt", "upd_dt") | F.col("by_child")
@@ -84,7 +85,7 @@ def sync_album_local(src: Tables, tgt: Tables, run: Run, ids: DataFrame | None =
 
 def changed_album_styles(src: Tables, run: Run) -> DataFrame:
     """Style rows that drive both album_style and track_style."""
-    return changed_styles(src["tbm_albumstyle"], KEY, run.of_region(src["ted_album_w"]), run)
+    return changed_styles(src, "tbm_albumstyle", KEY, run.of_region(src["ted_album_w"]), run)
 
 
 def sync_album_style(src: Tables, tgt: Tables, run: Run, styles: DataFrame | None = None) -> DataFrame:

@@ -18,12 +18,13 @@ SITE_KIND = "ted_artist"  # fixed value: marks the web sites that belong to arti
 
 def sync_artist(src: Tables, tgt: Tables, run: Run) -> DataFrame:
     base, region = src["ted_artist"], run.of_region(src["ted_artist_w"])
+    recent = run.of_region(run.recent(src, "ted_artist_w"))
     if run.region.regional:
-        ids = run.stage(touched_ids(KEY, run.cut, [base, region]), "artist_ids")
+        ids = run.stage(touched_ids(KEY, run.cut, [run.recent(src, "ted_artist"), recent]), "artist_ids")
         rows = changed_pairs(base, region, ids, KEY, run.cut)
         status = status_of("w_db_sts", "db_sts")
     else:
-        ids = run.stage(touched_ids(KEY, run.cut, [region]), "artist_ids")
+        ids = run.stage(touched_ids(KEY, run.cut, [recent]), "artist_ids")
         rows = has_parent(base, ids, [KEY])
         status = status_of("db_sts")
 
@@ -43,7 +44,7 @@ def sync_artist(src: Tables, tgt: Tables, run: Run) -> DataFrame:
 
 
 def sync_artist_local(src: Tables, tgt: Tables, run: Run) -> DataFrame:
-    rows = changed_since(run.of_region(src["ted_artist_w"]), run.cut)
+    rows = changed_since(run.of_region(run.recent(src, "ted_artist_w")), run.cut)
     if run.region.regional:
         rows = known_in(run.stage(rows, "artist_local_rows"), tgt["artist"], [KEY], run.stage)
     names = {"disp_nm_local": "src.artist_nm", "search_nm_local": "src.artist_nm"}
@@ -60,7 +61,7 @@ def sync_artist_local(src: Tables, tgt: Tables, run: Run) -> DataFrame:
 
 
 def sync_artist_style(src: Tables, tgt: Tables, run: Run) -> DataFrame:
-    rows = changed_styles(src["tbm_artiststyle"], KEY, run.of_region(src["ted_artist_w"]), run)
+    rows = changed_styles(src, "tbm_artiststyle", KEY, run.of_region(src["ted_artist_w"]), run)
     if run.region.regional:
         rows = known_in(rows, tgt["artist"], [KEY], run.stage)
         rows = known_in(rows, tgt["style"], ["style_id"], run.stage)

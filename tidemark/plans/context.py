@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tidemark.config import Region
 from tidemark.functions.dates import at, cutoff
 from tidemark.operators.apply import upsert
+from tidemark.sources.catalog import Replicas
 from tidemark.sources.staging import Staging
 
 Tables = Mapping[str, DataFrame]
@@ -62,6 +63,10 @@ class Run:
     def of_region(self, df: DataFrame) -> DataFrame:
         return df.where(F.col("nation_cd") == self.region.code)
 
+    def recent(self, src: Tables, name: str) -> DataFrame:
+        """Where to look for rows changed since the cut: the table, or its files that can hold some."""
+        return src.since(name, self.cut) if isinstance(src, Replicas) else src[name]
+
     def upsert(
         self,
         target: DataFrame,

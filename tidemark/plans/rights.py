@@ -45,7 +45,7 @@ def several_rights(services: Mapping[str, int], prefix: str = "") -> Column:
 
 def _sync(src: Tables, tgt: Tables, run: Run, services: Mapping[str, int]) -> DataFrame:
     lookup = run.stage(
-        rights_per_track(changed_since(src["ttmp_trackright"], run.cut), services),
+        rights_per_track(changed_since(run.recent(src, "ttmp_trackright"), run.cut), services),
         "_".join(["rights", *services]),
     )
     if run.stage.is_empty(lookup):

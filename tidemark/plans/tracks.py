@@ -21,9 +21,10 @@ NORMAL = "N"
 def changed_tracks(src: Tables, run: Run) -> DataFrame:
     """Ids that drive track, track_local and lyrics."""
     region = run.of_region(src["ted_track_w"])
-    base = src["ted_track"] if run.region.regional else None
+    base = run.recent(src, "ted_track") if run.region.regional else None
+    recent = run.of_region(run.recent(src, "ted_track_w")), run.recent(src, "ted_trackartist")
     return run.stage(
-        changed_ids(region, src["ted_trackartist"], base, KEY, run.cut, run.stage), "track_ids"
+        changed_ids(region, src["ted_trackartist"], base, KEY, run.cut, run.stage, recent), "track_ids"
     )
 
 

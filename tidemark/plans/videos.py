@@ -17,18 +17,19 @@ KEY = "mv_id"
 
 def changed_mvs(src: Tables, run: Run) -> DataFrame:
     """Ids that drive mv, and mv_local in the generic sync."""
-    region, links = run.of_region(src["ted_mv_w"]), src["ted_mvtrack"]
+    recent = run.of_region(run.recent(src, "ted_mv_w")), run.recent(src, "ted_mvtrack")
     if run.region.regional:
-        ids = touched_ids(KEY, run.cut, [src["ted_mv"], region], links, ("upd_dt",))
+        ids = touched_ids(KEY, run.cut, [run.recent(src, "ted_mv"), recent[0]], recent[1], ("upd_dt",))
     else:
-        ids = changed_ids(region, links, None, KEY, run.cut, run.stage)
+        region = run.of_region(src["ted_mv_w"])
+        ids = changed_ids(region, src["ted_mvtrack"], None, KEY, run.cut, run.stage, recent)
     return run.stage(ids, "mv_ids")
 
 
 def blind_deleted_mv(src: Tables, tgt: Tables, run: Run) -> DataFrame:
     """Videos whose link to their track was deleted since the cut go BLIND."""
     gone = changed_since(
-        src["ted_mvtrack"].where(F.col("db_sts") == DELETED), run.cut, ("upd_dt",)
+        run.recent(src, "ted_mvtrack").where(F.col("db_sts") == DELETED), run.cut, ("upd_dt",)
     )
     gone = run.stage(distinct_keys(gone, [KEY, "track_id"]), "deleted_mvtrack")
     if run.stage.is_empty(gone):
@@ -78,7 +79,8 @@ def sync_mv(src: Tables, tgt: Tables, run: Run, ids: DataFrame | None = None) ->
 def sync_mv_local(src: Tables, tgt: Tables, run: Run, ids: DataFrame | None = None) -> DataFrame:
     region = run.of_region(src["ted_mv_w"])
     if run.region.regional:
-        rows = run.stage(changed_since(region, run.cut), "mv_local_rows")
+        recent = run.of_region(run.recent(src, "ted_mv_w"))
+        rows = run.stage(changed_since(recent, run.cut), "mv_local_rows")
         inserted = {}
     else:
         rows = has_parent(region, changed_mvs(src, run) if ids is None else ids, [KEY])
