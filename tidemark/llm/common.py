@@ -11,6 +11,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.sources.files import Files
 from tidemark.sources.staging import shared_folder
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -33,6 +34,7 @@ class Scratch:
         self.spark = spark
         self.folder = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
         self._numbers = count(1)
+        self._tables: list[tuple[DataFrame, str]] = []
 
     def path(self, label: str) -> str:
         return f"{self.folder}/{next(self._numbers):03d}_{label}"
@@ -40,7 +42,19 @@ class Scratch:
     def __call__(self, df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
         path = self.path(label)
         df.write.parquet(path, compression=compression)
-        return self.spark.read.schema(df.schema).parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self._tables.append((out, path))
+        return out
+
+    def keep_only(self, *tables: DataFrame) -> None:
+        """Removes every other table written so far; for a result that reads only these."""
+        files, kept = Files(self.spark), []
+        for one, path in self._tables:
+            if any(one is t for t in tables):
+                kept.append((one, path))
+            else:
+                files.remove(path)
+        self._tables = kept
 
     def counted(self, df: DataFrame, label: str, *more: Column) -> tuple[DataFrame, dict]:
         """The written table and, from the same job, its row count ``n`` and other totals."""

@@ -171,7 +171,10 @@ def without_contaminated(docs: DataFrame, benchmark: DataFrame, scratch: Scratch
 
     Null and empty texts stay; repeated rows stay or go together; no rows give none.
     """
+    own = scratch is None
     scratch = scratch or Scratch(docs.sparkSession, "decontaminate")
     judged = decontaminate(docs, benchmark, scratch=scratch)
     bad = scratch(judged.where("contaminated").select(*_KEY).distinct(), "bad")
+    if own:
+        scratch.keep_only(bad)
     return packed(docs).join(bad, same_document(), "left_anti").select("row.*")

@@ -183,6 +183,7 @@ def mix(
 
 def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, scratch: Scratch | None = None) -> DataFrame:
     """The mix itself: ``docs`` with every row as often as it is taken, columns as they are."""
+    own = scratch is None
     scratch = scratch or Scratch(docs.sparkSession, "mixing")
     taken = mix(docs, weights, scratch=scratch)
     # rows alike in doc_id, text and source are one document: their copies are dealt as one sum
@@ -190,6 +191,8 @@ def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, scratch: Scratch
         F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("rows")
     )
     times = scratch(times, "copies")
+    if own:
+        scratch.keep_only(times)
     rows = packed(docs, F.col("source").cast("string").alias("source"))
     rows = rows.join(times, same_document() & F.col("source").eqNullSafe(F.col("of")))
     once = rows.where("rows = 1").select("row", "copies")

@@ -190,11 +190,14 @@ def representatives(
     The row of the smallest doc_id stays, null last; of rows with that doc_id, the one
     with the smallest text hash; of rows alike in both, any one.
     """
+    own = scratch is None
     scratch = scratch or Scratch(docs.sparkSession, "simhash")
     judged = scratch(_judged(docs, radius, shingle, scratch), "judged")
     keys = judged.groupBy("root", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("rows"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "text_hash", "rows")).alias("first")
     kept = scratch(keys.groupBy("root").agg(first).select("first.doc_id", "first.text_hash", "first.rows"), "kept")
+    if own:
+        scratch.keep_only(kept)
     rows = packed(docs).join(kept, same_document())
     # few rows are alike in both; only they are dealt once more
     again = rows.where("rows > 1").dropDuplicates(["id", "hash"])
