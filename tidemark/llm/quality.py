@@ -1,7 +1,7 @@
 """Quality classifier: perplexity under a model of trusted text.
 
 An interpolated modified Kneser-Ney model over the bytes of a text, five at a time,
-is trained on documents whose labels call them good. Counts, contexts and continuation
+is trained on every document that its labels call good, but those held out. Counts, contexts and continuation
 counts are tables dealt by n-gram; joins between them give one table with what each
 n-gram keeps of its count and the mass its context sets free. Bytes need no vocabulary
 and hold for languages that put no spaces between words.
@@ -24,6 +24,7 @@ document, need little memory and do not depend on the order of rows.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -34,13 +35,13 @@ from pyspark.sql import Window as W
 
 from tidemark.llm.common import Scratch, arrow_rows
 
-TRUSTED = 1_000_000  # labelled documents trained on at most, the first by a hash of their id
+BLOCK = 1_000_000  # ids of trusted documents that are broadcast at once; more take more passes over the texts
 QUANTILE = 0.995  # and as much of the other end
 HELD_OUT = 5  # one trusted document in so many is kept for the thresholds
 CLASS = 0.001  # width of a class of log-perplexity
 ORDER = 5  # bytes of the longest n-grams
 CHUNK = 64 << 20  # bytes of text, on average, that ask for their n-grams together
-_PIECE = 1 << 22  # bytes looked at at once
+_PIECE = 1 << 20  # bytes looked at at once
 _MOST = 1 << 21  # n-grams a training task holds before it hands them on
 _SLOTS = 22  # bits of an n-gram's place in a table of those met
 _BITS = 8 * ORDER  # an n-gram's number: its length above so many bits, its bytes below
@@ -82,8 +83,9 @@ def _ngrams(texts: Iterable[bytes]) -> Iterator[tuple[list[int], np.ndarray, np.
 
 
 def _bytes(column: pa.ChunkedArray | pa.Array) -> Iterator[bytes]:
-    for text in column.cast(pa.large_string()).cast(pa.large_binary()):
-        yield text.as_py() or b""
+    for part in column.chunks if isinstance(column, pa.ChunkedArray) else [column]:  # a copy of one at a time
+        for text in part.cast(pa.large_string()).cast(pa.large_binary()):
+            yield text.as_py() or b""
 
 
 def _length(k: int) -> int:
@@ -150,14 +152,22 @@ def _discounted(counts: DataFrame, k: int) -> DataFrame:
     return kept.union(totals.select(F.col("ctx") + _length(k - 1), none, F.col("free") / F.col("total")))
 
 
-def train(texts: DataFrame, scratch: Scratch) -> DataFrame:
+def train(texts: DataFrame | Iterable[DataFrame], scratch: Scratch) -> DataFrame:
     """The model: (gram, kept, lam) of every n-gram and context seen, of every length up to ORDER.
 
     p(g) = kept(g) + lam(g without its last byte) * p(g without its first); an n-gram that
     is not there keeps 0, a context that is not there has lam 1, and p of nothing is 1/256.
+    Texts in several frames are counted one frame after the other.
     """
-    with arrow_rows(texts.sparkSession, 1000):
-        counts = scratch(gram_counts(texts), f"count{ORDER}")
+    frames = [texts] if isinstance(texts, DataFrame) else texts
+    counted = []
+    with arrow_rows(scratch.spark, 1000):
+        for one in frames:
+            counted.append(scratch(gram_counts(one), f"count{ORDER}"))
+    counts = counted[0]
+    if len(counted) > 1:
+        every = reduce(DataFrame.union, counted)
+        counts = scratch(every.groupBy("gram").agg(F.sum("n").alias("n")), f"count{ORDER}")
     rows = _discounted(counts, ORDER)
     for k in range(ORDER - 1, 0, -1):  # shorter ones count the different bytes before them
         short = F.col("gram").bitwiseAND(F.lit(_last(k))).alias("gram")
@@ -292,19 +302,37 @@ def _thresholds(scored: DataFrame, held: DataFrame, scratch: Scratch) -> DataFra
     return scratch(limits, "thresholds")
 
 
+def _in_blocks(docs: DataFrame, ids: DataFrame, number: int) -> Iterator[DataFrame]:
+    """Texts of the documents whose ids these are; a frame for every BLOCK ids, which are broadcast.
+
+    So texts are shuffled for no number of ids, and no task holds more than a block of them.
+    """
+    blocks = -(-number // BLOCK) or 1
+    block = F.pmod(F.xxhash64("order"), F.lit(blocks))
+    for b in range(blocks):
+        some = F.broadcast(ids.where(block == b).select("doc_id"))
+        yield docs.join(some, "doc_id", "left_semi").select(F.col("text").cast("string"))
+
+
 def _fitted(
-    docs: DataFrame, labels: DataFrame, scratch: Scratch, trusted: int, whole: bool
+    docs: DataFrame, labels: DataFrame, scratch: Scratch, trusted: int | None, whole: bool
 ) -> tuple[DataFrame, DataFrame]:
-    """All rows with ``language`` and ``score`` (see ``score``), and (language, floor, limit)."""
+    """All rows with ``language`` and ``score`` (see ``score``), and (language, floor, limit).
+
+    Every trusted document counts: one in HELD_OUT for the thresholds, all others for the
+    model, unless the caller bounds these by ``trusted``.
+    """
     good = labels.where("doc_id is not null").groupBy("doc_id").agg(
         F.min("quality").alias("quality"), F.max(F.coalesce("toxic", F.lit(0))).alias("toxic")
     )
     order = F.xxhash64("doc_id")
     picked = scratch(good.where("quality = 1 and toxic = 0").select("doc_id", order.alias("order")), "good")
     held = F.pmod("order", F.lit(HELD_OUT)) == 0
-    some = scratch(picked.where(~held).orderBy("order", "doc_id").limit(trusted), "trusted")
-    some = F.broadcast(some.select("doc_id"))  # ``trusted`` ids at most
-    model = train(docs.join(some, "doc_id", "left_semi").select(F.col("text").cast("string")), scratch)
+    some = picked.where(~held)
+    if trusted is not None:
+        some = some.orderBy("order", "doc_id").limit(trusted)
+    some, seen = scratch.counted(some, "trusted")
+    model = train(_in_blocks(docs, some, seen["n"]), scratch)
     found = score(docs, model, whole)
     language = F.coalesce(F.col("row.lang").cast("string"), F.lit(""))
     found = scratch(found.select("*", language.alias("language")), "scored")
@@ -313,13 +341,14 @@ def _fitted(
 
 
 def classify(
-    docs: DataFrame, labels: DataFrame, scratch: Scratch | None = None, trusted: int = TRUSTED
+    docs: DataFrame, labels: DataFrame, scratch: Scratch | None = None, trusted: int | None = None
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, lang, perplexity, floor, threshold, keep.
 
     A row is kept if its perplexity is neither below the floor nor above the threshold.
     Trusted is a document that every label row of its doc_id calls quality 1 and not
-    toxic (a null toxic counts as 0). A null or empty text has no perplexity and is
+    toxic (a null toxic counts as 0). All of them are used, unless ``trusted`` bounds how many
+    are trained on, the first by a hash of their id. A null or empty text has no perplexity and is
     kept; so is everything where no trusted document sets a threshold. The documents of
     all languages count as one more in each language, a null one too: it decides where
     a language has no held-out trusted document, and matters less the more there are. Rows with null or repeated doc_ids keep
@@ -337,7 +366,7 @@ def _keep() -> Column:
     return F.coalesce(F.col("score").between(F.col("floor"), F.col("limit")), F.lit(True))
 
 
-def kept(docs: DataFrame, labels: DataFrame, scratch: Scratch | None = None, trusted: int = TRUSTED) -> DataFrame:
+def kept(docs: DataFrame, labels: DataFrame, scratch: Scratch | None = None, trusted: int | None = None) -> DataFrame:
     """``docs`` less the rows that ``classify`` does not keep, columns as they are.
 
     Null and repeated ids, null, empty and very long texts, no labels and no rows are
