@@ -8,6 +8,7 @@ from pathlib import Path
 
 import pytest
 
+from checks import queries
 from checks.queries import ORACLES, QUERIES
 from checks.standin import given
 from tests import tiny
@@ -157,3 +158,39 @@ def test_the_scans_for_changed_tracks_open_few_files(spark, monkeypatch):
 
 def test_queries_are_registered():
     assert {"changed_since_by_files", "changed_tracks_by_files"} <= set(QUERIES) & set(ORACLES)
+
+
+def test_a_date_of_many_rows_goes_to_several_files(spark, monkeypatch):
+    monkeypatch.setattr(queries, "_FILE_ROWS", 100, raising=False)
+    rows_of = [(i, "VNM", "t", "a", None, DAY, None, "A") for i in range(4000)] + [(i, "JPN", "t", "a", None, None, None, "A") for i in range(9)]
+    monkeypatch.setattr(queries, "standin", lambda spark, sf, name: spark.createDataFrame(rows_of, SOURCES[name]))
+    found = queries._by_files(spark, "", ["ted_track_w"])["ted_track_w"]
+    sizes = [r["count"] for r in found.groupBy("_metadata.file_path").count().collect()]
+    assert sum(sizes) == len(rows_of) and max(sizes) < 400
+    assert rows(found) == sorted(rows_of, key=repr)
+
+
+def test_dates_are_read_in_tasks_of_the_usual_size(spark):
+    root, dates_root = folder(spark), folder(spark)
+    for day in range(12):
+        add(spark, root, [day], DAY + timedelta(days=day))
+    before = {name: spark.conf.get(name) for name in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    group = uuid.uuid4().hex
+    try:
+        for name, value in zip(before, ("1k", "1k"), strict=True):
+            spark.conf.set(name, value)
+        spark.sparkContext.setJobGroup(group, "dates")
+        FileDates(spark, dates_root).refresh(NAME, f"{root}/{NAME}", SCHEMA)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert max(tasks_of(spark, group)) >= 12
+
+
+def tasks_of(spark, group):
+    """Numbers of tasks of a group's stages."""
+    tracker = spark.sparkContext.statusTracker()
+    jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup(group)]
+    stages = [tracker.getStageInfo(s) for job in jobs if job for s in job.stageIds]
+    return [s.numTasks for s in stages if s]
