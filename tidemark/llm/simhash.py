@@ -21,13 +21,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Scratch, components, packed, same_document, stars
+from tidemark.llm.common import Scratch, arrow_rows, components, packed, same_document, stars
 
 RADIUS = 3
 SHINGLE = 3
 SEED = 42
 BUCKET = 4096
 _CHUNK = 1 << 16  # shingles unpacked to bits at once
+_ROWS = 1000  # texts a worker holds at once
+_PAIRS = 1 << 20  # fingerprints compared at once, and links kept before they become groups
 
 
 def masks(bits: list[int], radius: int = RADIUS) -> list[int]:
@@ -79,8 +81,8 @@ def _distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def _near(fps: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     """Groups among the fingerprints of one bucket, compared in blocks."""
-    a, b = [], []
-    step = max(1, (1 << 22) // len(fps))
+    a, b, held = [], [], 0
+    step = max(1, _PAIRS // len(fps))
     for at in range(0, len(fps), step):
         rows = fps[at : at + step]
         i, j = np.nonzero(_distance(rows[:, None], fps[None, at:]) <= radius)
@@ -88,6 +90,10 @@ def _near(fps: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
         x, y = stars(rows[i[low]], fps[at:][j[low]])
         a.append(x)
         b.append(y)
+        held += len(x)
+        if held > _PAIRS:  # as groups they are fewer than the fingerprints
+            x, y = stars(np.concatenate(a), np.concatenate(b))
+            a, b, held = [x], [y], len(x)
     return stars(np.concatenate(a), np.concatenate(b))
 
 
@@ -156,7 +162,8 @@ def links(fps: DataFrame, scratch: Scratch, radius: int = RADIUS) -> DataFrame:
 
 def _judged(docs: DataFrame, radius: int, shingle: int, scratch: Scratch) -> DataFrame:
     """doc_id, text_hash, fp, root (the smallest linked fingerprint) and component_id of every row."""
-    rows = scratch(fingerprints(docs, shingle), "fingerprints")
+    with arrow_rows(docs.sparkSession, _ROWS):
+        rows = scratch(fingerprints(docs, shingle), "fingerprints")
     classes = scratch(rows.groupBy("fp").agg(F.min("doc_id").alias("low")), "classes")
     roots = components(links(classes.select("fp"), scratch, radius), scratch)
     rooted = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
