@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from itertools import count, islice
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,9 +41,13 @@ class Scratch:
     def path(self, label: str) -> str:
         return f"{self.folder}/{next(self._numbers):03d}_{label}"
 
-    def __call__(self, df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
+    def __call__(
+        self, df: DataFrame, label: str, compression: str = "snappy", row_group: int | None = None
+    ) -> DataFrame:
+        """``row_group``: bytes a writer gathers before it writes them; for tables of whole texts."""
         path = self.path(label)
-        df.write.parquet(path, compression=compression)
+        to = df.write if row_group is None else df.write.option("parquet.block.size", row_group)
+        to.parquet(path, compression=compression)
         out = self.spark.read.schema(df.schema).parquet(path)
         self._tables.append((out, path))
         return out
@@ -140,6 +146,16 @@ def batches(rows: Iterator, size: int) -> Iterator[list]:
         yield kept
 
 
+def release() -> None:
+    """Hands back freed memory that Arrow's pool and the C library keep.
+
+    A worker may serve later stages or wait idle, and its executor has little to spare.
+    """
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc alone has it
+        trim(0)
+
+
 def keep_oldest(known: dict, most: int) -> None:
     """Forgets the younger half beyond ``most`` entries: what is frequent was met early."""
     if len(known) > most:

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from tidemark.llm.common import Scratch, arrow_rows
+from tidemark.llm.common import Scratch, arrow_rows, release
 
 BLOCK = 1_000_000  # ids of trusted documents that are broadcast at once; more take more passes over the texts
 QUANTILE = 0.995  # and as much of the other end
@@ -41,7 +41,9 @@ HELD_OUT = 5  # one trusted document in so many is kept for the thresholds
 CLASS = 0.001  # width of a class of log-perplexity
 ORDER = 5  # bytes of the longest n-grams
 CHUNK = 64 << 20  # bytes of text, on average, that ask for their n-grams together
-_PIECE = 1 << 20  # bytes looked at at once
+_PIECE = 1 << 18  # bytes looked at at once
+_ROWS = 1000  # texts handed to a worker at once
+_ROW_GROUP = 16 << 20  # bytes of scored texts that a writer holds, and that a reader takes at once
 _MOST = 1 << 21  # n-grams a training task holds before it hands them on
 _SLOTS = 22  # bits of an n-gram's place in a table of those met
 _BITS = 8 * ORDER  # an n-gram's number: its length above so many bits, its bytes below
@@ -161,7 +163,7 @@ def train(texts: DataFrame | Iterable[DataFrame], scratch: Scratch) -> DataFrame
     """
     frames = [texts] if isinstance(texts, DataFrame) else texts
     counted = []
-    with arrow_rows(scratch.spark, 1000):
+    with arrow_rows(scratch.spark, _ROWS):
         for one in frames:
             counted.append(scratch(gram_counts(one), f"count{ORDER}"))
     counts = counted[0]
@@ -210,14 +212,17 @@ def _surprise(longest: np.ndarray, ids: np.ndarray, kept: np.ndarray, lam: np.nd
     return -np.log(p)
 
 
-def _ask(chunk: pa.Table) -> pa.Table:
+def _ask(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     met, seen = np.full(1 << _SLOTS, -1, np.int64), []
-    for _, _, g in _ngrams(_bytes(chunk.column("text"))):
-        new = np.unique(g[met[_slot(g)] != g])
-        met[_slot(new)] = new
-        seen.append(new)
+    for part in parts:
+        chunk = part.column("chunk")[0]
+        for _, _, g in _ngrams(_bytes(part.column("text"))):
+            new = np.unique(g[met[_slot(g)] != g])
+            met[_slot(new)] = new
+            seen.append(new)
     ids = _needed(np.unique(np.concatenate(seen)))
-    return pa.table({"chunk": pa.repeat(chunk.column("chunk")[0], len(ids)), "gram": ids})
+    yield pa.RecordBatch.from_pydict({"chunk": pa.repeat(chunk, len(ids)), "gram": ids})
+    release()
 
 
 def _log_perplexities(texts: pa.ChunkedArray, answers: pa.Table) -> np.ndarray:
@@ -265,6 +270,7 @@ def score(docs: DataFrame, model: DataFrame, whole: bool) -> DataFrame:
 
     def scored(rows: pa.Table, found: pa.Table) -> pa.Table:
         values = pa.array(_log_perplexities(rows.column("text"), found), from_pandas=True)
+        release()
         return rows.select(columns).append_column("score", values)
 
     return dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(scored, schema)
@@ -335,7 +341,8 @@ def _fitted(
     model = train(_in_blocks(docs, some, seen["n"]), scratch)
     found = score(docs, model, whole)
     language = F.coalesce(F.col("row.lang").cast("string"), F.lit(""))
-    found = scratch(found.select("*", language.alias("language")), "scored")
+    with arrow_rows(scratch.spark, _ROWS):
+        found = scratch(found.select("*", language.alias("language")), "scored", row_group=_ROW_GROUP)
     known = found.select(F.col("row.doc_id").alias("doc_id"), "language", "score")
     return found, _thresholds(known, picked.where(held).select("doc_id"), scratch)
 

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Scratch, arrow_rows, components, packed, same_document, stars
+from tidemark.llm.common import Scratch, arrow_rows, components, packed, release, same_document, stars
 
 RADIUS = 3
 SHINGLE = 3
@@ -62,11 +62,13 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """Columns ``doc_id``, ``text_hash``, ``fp`` (the 64 bits as a signed long), one row per row of docs."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()  # what an earlier stage left in this worker
         for part in parts:
             texts = part.column(2).cast(pa.binary())
             found = np.fromiter((simhash(t.as_py(), shingle) for t in texts), np.uint64, len(texts))
             columns = [part.column(0), part.column(1), pa.array(found.view(np.int64))]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "fp"])
+        release()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     text = F.col("text").cast("string")
@@ -125,6 +127,7 @@ def _links(radius: int):
                 b.append(y)
             x, y = stars(np.concatenate(a), np.concatenate(b))
             yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], ["a", "b"])
+        release()
 
     return run
 
